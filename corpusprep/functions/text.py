@@ -114,11 +114,11 @@ def casefold(text: Column) -> Column:
         F.translate(lowered, "".join(single), "".join(single.values())),
     ).otherwise(lowered)
     sharp = F.replace(mapped, F.lit("ß"), F.lit("ss"))
+    # Ligatures and the like: spelled out character by character, only in texts that have one.
     rare = {char: folded for char, folded in several.items() if char != "ß"}
-    expanded = sharp
-    for char, folded in rare.items():
-        expanded = F.replace(expanded, F.lit(char), F.lit(folded))
-    return F.when(sharp.rlike("[" + "".join(rare) + "]"), expanded).otherwise(sharp)
+    spelled = F.expr(f"map_from_arrays(split('{' '.join(rare)}', ' '), split('{' '.join(rare.values())}', ' '))")
+    chars = F.transform(F.split(sharp, ""), lambda char: F.coalesce(spelled[char], char))
+    return F.when(sharp.rlike("[" + "".join(rare) + "]"), F.array_join(chars, "")).otherwise(sharp)
 
 
 def dedup_key(value: Column) -> Column:

@@ -120,13 +120,16 @@ class SemanticDedup:
 
         Pass it as ``known`` with the next batch of rows.
         """
-        facts = self._facts()
-        new = (
+        new = self.new_representatives()
+        return new if self.known is None else self.known.unionByName(new)
+
+    def new_representatives(self) -> DataFrame:
+        """The representatives found in this input, first blank included."""
+        return (
             self.kept_ids().join(self.fresh.select("id", "vec"), "id", "left")
-            .join(facts, "id")
+            .join(self._facts(), "id")
             .select(F.col("id").alias("row_index"), "key", "category", "vec")
         )
-        return new if self.known is None else self.known.unionByName(new)
 
     def _facts(self) -> DataFrame:
         """Key and category of every input row."""
