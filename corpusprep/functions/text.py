@@ -21,7 +21,6 @@ WS = (
     r"\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
-_WS_OTHER = WS.replace(r"\x1C-\x20", r"\x1C-\x1F")
 
 # Emoji blocks, joiner and variation selector.
 _EMOJI = r"\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}\x{1F1E6}-\x{1F1FF}\x{200D}\x{FE0F}"
@@ -104,27 +103,31 @@ def _span_class(chars) -> str:
 def casefold(text: Column) -> Column:
     """Full Unicode case folding.
 
-    ``lower`` does nearly all of it. The few hundred characters that fold differently are
-    fixed up behind a cheap guard, so that ordinary text pays for one scan only.
+    ``lower`` does nearly all of it, and sharp s is a plain replacement. The few hundred other
+    characters that fold differently are handled behind a guard that ordinary text fails.
     """
     single, several = _fold_tables()
-    lowered = F.lower(text)
-    mapped = F.when(
-        lowered.rlike(_span_class(single)),
-        F.translate(lowered, "".join(single), "".join(single.values())),
-    ).otherwise(lowered)
-    sharp = F.replace(mapped, F.lit("ß"), F.lit("ss"))
-    # Ligatures and the like: spelled out character by character, only in texts that have one.
     rare = {char: folded for char, folded in several.items() if char != "ß"}
+    lowered = F.lower(text)
+    mapped = F.translate(lowered, "".join(single), "".join(single.values()))
+    # Ligatures and the like are spelled out character by character.
     spelled = F.expr(f"map_from_arrays(split('{' '.join(rare)}', ' '), split('{' '.join(rare.values())}', ' '))")
-    chars = F.transform(F.split(sharp, ""), lambda char: F.coalesce(spelled[char], char))
-    return F.when(sharp.rlike("[" + "".join(rare) + "]"), F.array_join(chars, "")).otherwise(sharp)
+    chars = F.transform(F.split(mapped, ""), lambda char: F.coalesce(spelled[char], char))
+    unusual = F.when(mapped.rlike("[" + "".join(rare) + "]"), F.array_join(chars, "")).otherwise(mapped)
+    guard = rf"[^\x00-\x7F](?<={_span_class([*single, *rare])})"
+    folded = F.when(lowered.rlike(guard), unusual).otherwise(lowered)
+    return F.replace(folded, F.lit("ß"), F.lit("ss"))
+
+
+def collapse_spaces(text: Column) -> Column:
+    """Every run of white space as one space; a single space is not even touched."""
+    space = r"[\s\x1C-\x1F]"
+    return F.regexp_replace(text, rf"(?U)(?![!-~]){space}(?:(?<! )|{space}){space}*", " ")
 
 
 def dedup_key(value: Column) -> Column:
     """The form under which two texts count as equal: stripped, single-spaced, case-folded."""
-    spaced = F.regexp_replace(cell_text(value), f"[{WS}]{{2,}}|[{_WS_OTHER}]", " ")
-    return casefold(spaced)
+    return casefold(collapse_spaces(cell_text(value)))
 
 
 def key_digest(key: Column) -> Column:
@@ -147,9 +150,9 @@ def keyword_tokens(value: Column) -> Column:
 
     def pieces(run: Column) -> Column:
         size = F.char_length(run)
-        cut = F.transform(
-            F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))),
-            lambda start: F.substring(run, start, F.lit(2)),
+        chars = F.split(run, "")
+        cut = F.zip_with(
+            F.slice(chars, 1, size - 1), F.slice(chars, 2, size), lambda one, next_one: F.concat(one, next_one)
         )
         usable = F.filter(
             cut, lambda piece: ~piece.isin(STOP_WORDS) & ~piece.rlike(f"[{STOP_CHARS}]")

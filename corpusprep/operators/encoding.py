@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import HashingTF, NGram, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,13 +54,10 @@ def encode(
 
 
 def _char_ngrams(df: DataFrame, text: str, name: str, dimensions: int) -> DataFrame:
-    padded = F.concat(F.lit(" "), column(text), F.lit(" "))
-    grams = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.char_length(padded) - 2, F.lit(1))),
-        lambda start: F.substring(padded, start, F.lit(3)),
-    )
-    counted = HashingTF(numFeatures=dimensions, inputCol="__grams", outputCol="__counts").transform(
-        df.withColumn("__grams", grams)
-    )
+    chars = F.split(F.concat(F.lit(" "), column(text), F.lit(" ")), "")
+    grams = NGram(n=3, inputCol="__chars", outputCol="__grams").transform(df.withColumn("__chars", chars))
+    counted = HashingTF(numFeatures=dimensions, inputCol="__grams", outputCol="__counts").transform(grams)
     scaled = Normalizer(p=2.0, inputCol="__counts", outputCol="__unit").transform(counted)
-    return scaled.withColumn(name, vector_to_array("__unit", "float32")).drop("__grams", "__counts", "__unit")
+    return scaled.withColumn(name, vector_to_array("__unit", "float32")).drop(
+        "__chars", "__grams", "__counts", "__unit"
+    )
