@@ -37,10 +37,15 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents, over all cores even when the file is small."""
+    return io.spread_small(_table(spark, sf, "documents"), f"{sf}/documents.parquet")
+
+
 def _words(spark: SparkSession, sf: str) -> DataFrame:
     """Every word of every document; full stops leave blanks, stars become emoji."""
     words = F.split(F.translate("text", ".*", " 😂"), " ")
-    return _table(spark, sf, "documents").select("doc_id", F.posexplode(words).alias("pos", "text"))
+    return _documents(spark, sf).select("doc_id", F.posexplode(words).alias("pos", "text"))
 
 
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,7 +98,7 @@ def cleaning_stats_words(spark, sf):
 
 
 def clean_documents(spark, sf):
-    return cleaning.clean(_table(spark, sf, "documents"))
+    return cleaning.clean(_documents(spark, sf))
 
 
 def cleaning_stats_tables(spark, sf):
@@ -116,11 +121,11 @@ def merged_cleaning_stats(spark, sf):
 
 
 def dedup_keys(spark, sf):
-    return _table(spark, sf, "documents").select("doc_id", X.dedup_key(F.col("text")).alias("dedup_key"))
+    return _documents(spark, sf).select("doc_id", X.dedup_key(F.col("text")).alias("dedup_key"))
 
 
 def exact_dedup_documents(spark, sf):
-    return dedup.exact_dedup(_table(spark, sf, "documents"), order="doc_id")
+    return dedup.exact_dedup(_documents(spark, sf), order="doc_id")
 
 
 def exact_dedup_conversations(spark, sf):
@@ -129,7 +134,7 @@ def exact_dedup_conversations(spark, sf):
 
 
 def exact_dedup_stats(spark, sf):
-    return dedup.exact_dedup_stats(_table(spark, sf, "documents"))
+    return dedup.exact_dedup_stats(_documents(spark, sf))
 
 
 def first_words(spark, sf):
@@ -138,13 +143,13 @@ def first_words(spark, sf):
 
 
 def known_keys_dedup(spark, sf):
-    documents = _table(spark, sf, "documents")
+    documents = _documents(spark, sf)
     known = dedup.known_digests(documents.filter("source = 'src0'"))
     return dedup.exact_dedup(documents.filter("source <> 'src0'"), order="doc_id", known_keys=known)
 
 
 def known_keys_stats(spark, sf):
-    documents = _table(spark, sf, "documents")
+    documents = _documents(spark, sf)
     known = dedup.known_digests(documents.filter("source = 'src0'"))
     return dedup.exact_dedup_stats(documents.filter("source <> 'src0'"), known_keys=known)
 
@@ -246,7 +251,7 @@ def top_k_neighbors(spark, sf):
 
 
 def encoded_documents(spark, sf):
-    encoded = encode(_table(spark, sf, "documents").select("doc_id", "text"), "text")
+    encoded = encode(_documents(spark, sf).select("doc_id", "text"), "text")
     return encoded.select("doc_id", F.size("embedding").alias("dimensions"), F.round(V.inner_product(F.col("embedding"), F.col("embedding")), 4).alias("squared_norm"))
 
 
@@ -294,7 +299,7 @@ def semantic_dedup_two_parts(spark, sf):
 
 def semantic_dedup_documents(spark, sf):
     """All documents by wording: hashed character trigrams, similarity 0.9."""
-    documents = _table(spark, sf, "documents").select(F.col("doc_id").alias("row_index"), "text")
+    documents = _documents(spark, sf).select(F.col("doc_id").alias("row_index"), "text")
     return semantic_dedup(documents, encoder="char-ngrams").kept().select("row_index")
 
 
@@ -314,7 +319,7 @@ def cluster_keywords(spark, sf):
 
 
 def token_counts(spark, sf):
-    tokens = _table(spark, sf, "documents").select(F.explode(X.keyword_tokens(F.col("text"))).alias("token"))
+    tokens = _documents(spark, sf).select(F.explode(X.keyword_tokens(F.col("text"))).alias("token"))
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
 
 
@@ -353,7 +358,7 @@ def clustered_rows(spark, sf):
 
 
 def normalized_labels(spark, sf):
-    return _table(spark, sf, "documents").select("doc_id", X.normalize_label(F.col("text")).alias("label"))
+    return _documents(spark, sf).select("doc_id", X.normalize_label(F.col("text")).alias("label"))
 
 
 def kmeans_clusters(spark, sf):
@@ -362,7 +367,7 @@ def kmeans_clusters(spark, sf):
 
 def hdbscan_clusters(spark, sf):
     """Documents by wording, density clusters."""
-    return cluster_texts(_table(spark, sf, "documents"), order="doc_id").rows.select("row_index", "cluster_id")
+    return cluster_texts(_documents(spark, sf), order="doc_id").rows.select("row_index", "cluster_id")
 
 
 def core_distances(spark, sf):
@@ -389,7 +394,7 @@ def _lower_case():
 
 def _scored(spark, sf):
     """A stand-in model that whispers; the expected answer is the text if its quality is 1."""
-    rows = _table(spark, sf, "documents").join(_table(spark, sf, "labels"), "doc_id").select(
+    rows = _documents(spark, sf).join(_table(spark, sf, "labels"), "doc_id").select(
         "doc_id", "text", F.when(F.col("quality") == 1, F.col("text")).otherwise(F.col("lang")).alias("expected")
     )
     return scoring.score_rows(rows, _lower_case, expected="expected", result="answer", seconds="seconds", match="matches")

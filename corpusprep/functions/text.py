@@ -65,10 +65,14 @@ def is_symbol_only(text: Column) -> Column:
 
 
 def removal_reason(value: Column) -> Column:
-    """Why a row should go: blank, emoji, garbled or symbol (first that applies), else null."""
+    """Why a row should go: blank, emoji, garbled or symbol (first that applies), else null.
+
+    A readable letter rules out all of them, and most texts show one at once.
+    """
     text = cell_text(value)
     return (
         F.when(is_blank(text), "blank")
+        .when(text.rlike(_READABLE), F.lit(None).cast("string"))
         .when(is_emoji_only(text), "emoji")
         .when(is_garbled_only(text), "garbled")
         .when(is_symbol_only(text), "symbol")

@@ -95,6 +95,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path) if _format(path) == "csv" else spark.read.parquet(path)
 
 
+def spread_small(table: DataFrame, path: str, limit: int = 256 << 20) -> DataFrame:
+    """Spread a small file over all cores; leave anything above ``limit`` bytes alone.
+
+    A small file is read by one task however much work follows. Large inputs come in many
+    splits and need no shuffle; the size is looked up, not assumed.
+    """
+    spark = table.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    listing = spark.read.format("binaryFile").load(path).agg(F.sum("length"))
+    size = listing.first()[0] or 0
+    return table.repartition(cores) if 1 << 20 < size <= limit else table
+
+
 def stream_table(spark: SparkSession, folder: str, schema: T.StructType | str, kind: str = "csv", files_per_batch: int = 1) -> DataFrame:
     """A folder of files as a stream, a bounded number of files per micro-batch."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
