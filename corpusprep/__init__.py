@@ -1 +1,8 @@
 """Text corpus preparation as Spark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel by value, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
