@@ -21,9 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusprep.operators.rows import column
+from corpusprep.operators.skew import hot_join
+
 TILE_ROWS = 4096
 _STRIP_ROWS = 1024
 _SLACK = 1e-6
@@ -68,6 +71,11 @@ class PivotCells:
     def single(self) -> bool:
         return len(self.pivots) < 2
 
+    @property
+    def limit(self) -> int:
+        """How many cells there can be."""
+        return max(1, len(self.pivots))
+
     def place(self, base: DataFrame, probe: DataFrame, radius: float | str) -> tuple[DataFrame, DataFrame]:
         """Both tables with a ``cell``. ``radius`` is an angle, or the probe column holding one."""
         if self.single:
@@ -127,6 +135,15 @@ class SignBands:
     seed: int = 42
     single = False
 
+    def __post_init__(self) -> None:
+        if self.bands < 1 or not 1 <= self.bits <= 16 or self.limit > 1 << 20:
+            raise ValueError("at most 16 bits per band, and 2**20 cells over all bands")
+
+    @property
+    def limit(self) -> int:
+        """How many cells there can be."""
+        return self.bands << self.bits
+
     def place(self, base: DataFrame, probe: DataFrame, radius: float | str) -> tuple[DataFrame, DataFrame]:
         return self._banded(base), self._banded(probe)
 
@@ -187,12 +204,13 @@ def tile_join(
             .unionByName(probe.groupBy("cell").agg(F.lit(0).cast("bigint").alias("b"), F.count(F.lit(1)).alias("p")))
             .groupBy("cell").agg(F.sum("b").alias("b"), F.sum("p").alias("p"))
         )
-        # Only cells over one tile need splitting: at most (placed rows / tile) records.
+        # Only cells over one tile need splitting; there are at most ``cells.limit`` cells.
         large = sizes.filter((F.col("b") > tile) | (F.col("p") > tile)).select(
             "cell",
             F.ceil(F.col("b") / tile).cast("int").alias("base_tiles"),
             F.ceil(F.col("p") / tile).cast("int").alias("probe_tiles"),
         )
+        large = F.broadcast(large)
         one = {name: F.greatest(F.coalesce(name, F.lit(1)), F.lit(1)) for name in ("base_tiles", "probe_tiles")}
         base = base.join(large, "cell", "left").withColumns(one)
         probe = probe.join(large, "cell", "left").withColumns(one)
@@ -312,8 +330,6 @@ def nearest(k: int) -> Reducer:
 
 def vector_table(df: DataFrame, vector: str, order: str) -> DataFrame:
     """The two columns the joins work on."""
-    from corpusprep.operators.rows import column
-
     return df.select(column(order).cast("bigint").alias("id"), column(vector).alias("vec"))
 
 
@@ -339,8 +355,9 @@ def _pairs(df: DataFrame, vector: str, order: str, threshold: float, cells, tile
     )
     if isinstance(cells, SignBands):
         found = found.groupBy("left_id", "right_id").agg(F.max("similarity").alias("similarity"))
+    repeated = firsts.filter("copies > 1")
     copies = (
-        marked.join(firsts.filter("copies > 1"), "digest")
+        hot_join(marked, repeated, "digest", "id", repeated.select("digest", F.col("copies").alias("n")))
         .filter(F.col("id") > F.col("first"))
         .select(F.col("first").alias("left_id"), F.col("id").alias("right_id"), F.lit(1.0).alias("similarity"))
     )
@@ -402,8 +419,6 @@ def top_k(query: DataFrame, corpus: DataFrame, k: int, tile: int = TILE_ROWS, ce
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    from pyspark.sql import Window
-
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "match_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 

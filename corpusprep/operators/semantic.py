@@ -26,10 +26,10 @@ from corpusprep.operators.neighbors import (
     tile_join,
 )
 from corpusprep.operators.rows import column, cut_lineage, resolve_target_column, target_value
+from corpusprep.operators.skew import hot_join
 
 FIRST_BLOCK = 1 << 15
 MAX_BLOCK = 1 << 22
-HOT_ROWS = 1 << 20
 
 
 def greedy_representatives(
@@ -171,22 +171,11 @@ class SemanticDedup:
             F.lit(1.0).alias("similarity"),
             F.lit(None).cast("bigint").alias("until"),
         )
-        unit_steps = self.units.select("digest", "id", "copies").join(steps.unionByName(own), "id").drop("id")
-
-        # A key with very many copies is spread over several tasks; there are at most
-        # (input rows / HOT_ROWS) such keys, so their list is always small.
-        hot = self.units.filter(F.col("copies") > HOT_ROWS).select(
-            "digest", F.ceil(F.col("copies") / HOT_ROWS).cast("int").alias("parts")
-        )
-        salts = F.ceil(F.col("copies") / HOT_ROWS).cast("int")
-        unit_steps = unit_steps.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        rows = (
-            self.rows.filter("key <> ''").select("row", "digest")
-            .join(F.broadcast(hot), "digest", "left")
-            .withColumn("salt", F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1))).cast("int"))
-        )
+        unit_steps = self.units.select("digest", "id").join(steps.unionByName(own), "id").drop("id")
+        rows = self.rows.filter("key <> ''").select("row", "digest")
+        sizes = self.units.select("digest", F.col("copies").alias("n"))
         return (
-            rows.join(unit_steps, ["digest", "salt"])
+            hot_join(rows, unit_steps, "digest", "row", sizes)
             .filter(
                 (F.col("match") < F.col("row"))
                 & (F.col("until").isNull() | (F.col("until") >= F.col("row")))
