@@ -17,7 +17,7 @@ from corpusprep.functions import vectors as V  # noqa: E402
 from corpusprep.operators import cleaning, cluster_tables, clustering, dedup, density, neighbors, scoring  # noqa: E402
 from corpusprep.operators.encoding import encode  # noqa: E402
 from corpusprep.operators.projection import project_3d  # noqa: E402
-from corpusprep.operators.rows import shared_folder, with_row_index  # noqa: E402
+from corpusprep.operators.rows import cut_lineage, shared_folder, with_row_index  # noqa: E402
 from corpusprep.operators.semantic import semantic_dedup  # noqa: E402
 from corpusprep.plans.clean_dedup import clean_then_dedup  # noqa: E402
 from corpusprep.plans.cluster_texts import cluster_texts  # noqa: E402
@@ -64,11 +64,11 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _members(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster_tables.member_table(_labelled(spark, sf))
+    return cut_lineage(cluster_tables.member_table(_labelled(spark, sf)), "members")
 
 
-def _facts(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster_tables.cluster_facts(_members(spark, sf))
+def _facts(rows: DataFrame) -> DataFrame:
+    return cut_lineage(cluster_tables.cluster_facts(rows), "facts")
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -324,11 +324,12 @@ def token_counts(spark, sf):
 
 
 def cluster_rule_labels(spark, sf):
-    return _facts(spark, sf).select("cluster_id", "cluster_label")
+    return _facts(_members(spark, sf)).select("cluster_id", "cluster_label")
 
 
 def cluster_label_context(spark, sf):
-    context = cluster_tables.cluster_label_context(_members(spark, sf), _facts(spark, sf))
+    rows = _members(spark, sf)
+    context = cluster_tables.cluster_label_context(rows, _facts(rows))
     return context.select(
         "cluster_id", "cluster_size", F.size("top_keyword_list").alias("keywords"),
         F.array_join("sample_texts", "\n--\n").alias("samples"), "prompt",
@@ -336,7 +337,8 @@ def cluster_label_context(spark, sf):
 
 
 def cluster_summary(spark, sf):
-    return cluster_tables.cluster_summary(_members(spark, sf), _facts(spark, sf))
+    rows = _members(spark, sf)
+    return cluster_tables.cluster_summary(rows, _facts(rows))
 
 
 def clustering_stats(spark, sf):
@@ -345,7 +347,7 @@ def clustering_stats(spark, sf):
 
 def cluster_analysis(spark, sf):
     rows = _members(spark, sf)
-    summary = cluster_tables.cluster_summary(rows, _facts(spark, sf))
+    summary = cluster_tables.cluster_summary(rows, _facts(rows))
     return cluster_tables.cluster_analysis(summary, cluster_tables.clustering_stats(rows)).drop("example_texts")
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.operators.rows import column
+from corpusprep.operators.rows import column, cut_lineage
 from corpusprep.operators.skew import hot_join
 
 TILE_ROWS = 4096
@@ -333,6 +333,18 @@ def vector_table(df: DataFrame, vector: str, order: str) -> DataFrame:
     return df.select(column(order).cast("bigint").alias("id"), column(vector).alias("vec"))
 
 
+def repeated_vectors(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``id, digest`` of every row, and ``digest, first, copies`` of every distinct vector.
+
+    The digest is 128 bits: two hashes, of the vector and of its reverse. The vectors
+    themselves are not shuffled.
+    """
+    digest = F.array(F.xxhash64("vec"), F.xxhash64(F.reverse("vec")))
+    marked = table.select("id", digest.alias("digest"))
+    firsts = marked.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    return marked, cut_lineage(firsts, "firsts")
+
+
 def check_threshold(threshold: float) -> None:
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
@@ -342,11 +354,9 @@ def _pairs(df: DataFrame, vector: str, order: str, threshold: float, cells, tile
     """Pairs over the threshold between distinct vectors, plus one pair per repeated vector."""
     check_threshold(threshold)
     table = vector_table(df, vector, order)
-    digest = F.unhex(F.sha2(F.to_json(F.struct("vec")), 256))
-    marked = table.select("id", digest.alias("digest"))
-    firsts = marked.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    marked, firsts = repeated_vectors(table)
     distinct = table.join(firsts.select(F.col("first").alias("id")), "id", "left_semi")
-    rows = distinct.count()
+    rows = firsts.count()
     if cells is None:
         cells = PivotCells.choose(distinct, rows, tile)
     found = tile_join(
