@@ -26,7 +26,8 @@ def removed_rows(df: DataFrame, target: str = "text") -> DataFrame:
     return with_removal_reason(df, target).filter(F.col("removal_reason").isNotNull())
 
 
-def _counters(reason: Column) -> list[Column]:
+def counters(reason: Column) -> list[Column]:
+    """The counts over a column of reasons, as aggregates."""
     kept = F.count_if(reason.isNull())
     total = F.count(F.lit(1))
     return [
@@ -39,7 +40,7 @@ def _counters(reason: Column) -> list[Column]:
 
 def cleaning_stats(df: DataFrame, target: str = "text") -> DataFrame:
     """One row of counts: before, after, removed by reason, removed."""
-    return df.agg(*_counters(removal_reason(target_value(df, target))))
+    return df.agg(*counters(removal_reason(target_value(df, target))))
 
 
 def clean_observed(df: DataFrame, target: str = "text") -> tuple[DataFrame, Observation]:
@@ -50,7 +51,7 @@ def clean_observed(df: DataFrame, target: str = "text") -> tuple[DataFrame, Obse
     observation = Observation()
     cleaned = (
         with_removal_reason(df, target, "__reason")
-        .observe(observation, *_counters(F.col("__reason")))
+        .observe(observation, *counters(F.col("__reason")))
         .filter(F.col("__reason").isNull())
         .drop("__reason")
     )

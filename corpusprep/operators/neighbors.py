@@ -406,8 +406,8 @@ def similar_pairs_approx(
 def top_k(query: DataFrame, corpus: DataFrame, k: int, tile: int = TILE_ROWS, cells: PivotCells | None = None) -> DataFrame:
     """``query_id, match_id, similarity, rank``: the k best corpus rows for every query row.
 
-    With several cells, a first pass against the tile where the query sits gives a bound on
-    its k-th angle; the second pass visits only the cells the bound allows.
+    With several cells, a first pass against the query's own cell gives a bound on its k-th
+    angle; the second pass visits only the cells the bound allows.
     """
     if k < 1:
         raise ValueError("k must be positive")
