@@ -293,10 +293,10 @@ def semantic_dedup(
         from corpusprep.operators.encoding import encode
 
         # A fixed number of partitions: the texts are small, the work on them is not, so they
-        # must not be merged into a few tasks by size.
+        # must not be merged into a few tasks by size. The merge join keeps that partitioning.
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         source = df.select(column(order).cast("bigint").alias("id"), key.alias("key")).repartition(tasks, "id")
-        units = encode(firsts.join(source, "id"), "key", encoder, name="vec").drop("key")
+        units = encode(source.join(firsts.hint("merge"), "id"), "key", encoder, name="vec").drop("key")
     units = cut_lineage(units.select("digest", "id", "copies", "vec"), "units")
     unit_rows = units.count()
     if cells is None:
