@@ -11,31 +11,48 @@ from pyspark.sql import functions as F
 
 from corpusprep.operators.rows import cut_lineage
 
-SMALL_EDGES = 1 << 20
+#: Edges a task contracts at a time (16 bytes each).
+LOCAL_EDGES = 1 << 18
 
 
-def components(edges: DataFrame, small_edges: int = SMALL_EDGES) -> DataFrame:
+def components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """``id, label`` for every end of ``edges`` (a, b): the smallest id it is connected to.
 
-    Up to ``small_edges`` edges (16 MB) are merged in one task. Beyond that, large-star and
-    small-star steps (Kiveris et al., 2014) alternate until nothing moves: every step is a
-    grouped minimum and an equi-join.
+    Each task first replaces its edges by stars of the components they form among themselves.
+    Then large-star and small-star steps (Kiveris et al., 2014) alternate until only stars are
+    left: every step is a grouped minimum and an equi-join whose other side has one row per
+    node, so adaptive execution can split a hub with any number of neighbours. Edges with a
+    null end and loops are left out; no edges give no rows.
     """
-    edges = cut_lineage(edges.select("a", "b").filter("a <> b"), "links")
-    if edges.count() <= small_edges:
-        return edges.coalesce(1).mapInArrow(_merge, "id bigint, label bigint")
-    links = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
-    mark = None
-    while True:
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column("a").to_numpy(), batch.column("b").to_numpy()))
+            size += batch.num_rows
+            if size >= local_edges:
+                yield _stars(held)
+                held, size = [], 0
+        if size:
+            yield _stars(held)
+
+    pairs = edges.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).filter("a <> b")
+    links = cut_lineage(pairs.mapInArrow(contract, "hi bigint, lo bigint").distinct(), "links")
+    while not _only_stars(links):
         links = cut_lineage(_small_star(_large_star(links)), "stars")
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
     roots = links.select(F.col("lo").alias("id"), F.col("lo").alias("label")).distinct()
     return links.select(F.col("hi").alias("id"), F.col("lo").alias("label")).unionByName(roots)
 
 
+def _only_stars(links: DataFrame) -> bool:
+    """No node has two smaller neighbours, and no smaller neighbour has one itself."""
+    ends = links.groupBy("hi").agg(F.count(F.lit(1)).alias("n"))
+    if ends.filter("n > 1").limit(1).count():
+        return False
+    middle = links.select(F.col("lo").alias("hi")).distinct()
+    return links.join(middle, "hi", "left_semi").limit(1).count() == 0
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour."""
     both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
@@ -55,11 +72,8 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("hi", F.col("least").alias("lo"))).distinct()
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    lists = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
-    if not lists:
-        return
-    ends = np.concatenate([a for a, _ in lists] + [b for _, b in lists])
+def _stars(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    ends = np.concatenate([a for a, _ in held] + [b for _, b in held])
     ids, index = np.unique(ends, return_inverse=True)
     half = len(ends) // 2
     # Hooking each end to the smaller label, then shortening all paths, until stable.
@@ -74,4 +88,5 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             label = label[label]
         if np.array_equal(label, before):
             break
-    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[label])], names=["id", "label"])
+    moved = label != np.arange(len(ids))
+    return pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[label[moved]])], names=["hi", "lo"])
