@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import bpe, langid, tokenfiles
+from corpusprep.llm import bpe, langid, mixing, secrets, simhash, tokenfiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,26 @@ def op3_token_files(spark, sf):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_mixing(spark, sf):
+    mixed = mixing.mix(_table(spark, sf, "documents"), F.array("source"))
+    return mixed.select(
+        "doc_id", "size", F.col("source_sizes")[0].alias("source_size"), F.col("targets")[0].alias("target"), "taken"
+    )
+
+
+def op6_simhash(spark, sf):
+    near = simhash.near_duplicates(_table(spark, sf, "documents"), words=3, radius=2)
+    return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_secrets(spark, sf):
+    found = secrets.find_secrets(_table(spark, sf, "documents"))
+    spans = F.col("spans")
+    counts = [secrets.count_of(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    digest = F.sha2(secrets.joined(spans, base_only=True).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secrets.joined(spans, base_only=False).alias("spans"))
+
+
 def op10_bpe(spark, sf):
     coded = bpe.encode(_table(spark, sf, "documents"), tokenizer_path(), decoded=True)
     return coded.select(
@@ -56,6 +76,9 @@ def queries() -> dict[str, Query]:
     return {
         "op2_language_id": op2_language_id,
         "op3_token_files": op3_token_files,
+        "op5_mixing": op5_mixing,
+        "op6_simhash": op6_simhash,
+        "op9_secrets": op9_secrets,
         "op10_bpe": op10_bpe,
     }
 
