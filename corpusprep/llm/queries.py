@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import bpe, langid, mixing, secrets, simhash, tokenfiles
+from corpusprep.llm import bpe, langid, licenses, mixing, secrets, simhash, tokenfiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,23 @@ def held_out(doc_id: str = "doc_id"):
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0
 
 
+def op1_licenses(spark, sf):
+    found = licenses.scan(_table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    joined = [F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",") for spans in (base, F.col("spans"))]
+    firsts = F.transform(base, lambda s: s["first"].cast("bigint"))
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("bigint").alias("n_words"),
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(firsts).alias("first_word"),
+        F.array_max(firsts).alias("last_word"),
+        joined[0].alias("base_labels"),
+        joined[1].alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op2_language_id(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
     samples = langid.fit(docs.filter(~held_out()))
@@ -74,6 +91,7 @@ def op10_bpe(spark, sf):
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_licenses": op1_licenses,
         "op2_language_id": op2_language_id,
         "op3_token_files": op3_token_files,
         "op5_mixing": op5_mixing,
