@@ -22,7 +22,7 @@ from corpusprep.llm.common import binary_column, id_and_text, list_column, piece
 from corpusprep.llm.pretokens import WordCodes, special_tokens
 
 #: Bytes of text whose new pre-tokens are merged together.
-PIECE = 24 << 20
+PIECE = 6 << 20
 
 
 def byte_letters() -> list[str]:
@@ -185,7 +185,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 ids, counts = words.texts(data[offsets[low] : offsets[high]], part, tuple(index.specials))
                 bounds = np.concatenate([[0], np.cumsum(counts)])
                 # Results leave in slices, so that one list column stays well below 2 GB.
-                for a, b in pieces(bounds, 4_000_000):
+                for a, b in pieces(bounds, 1_000_000):
                     flat = ids[bounds[a] : bounds[b]]
                     columns = [batch.column("doc_id").slice(low + a, b - a), list_column(flat, counts[a:b], pa.int32())]
                     if decoded:

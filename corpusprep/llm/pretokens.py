@@ -20,10 +20,10 @@ import xxhash
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
 #: Bytes that are hashed at a time; longer words are hashed one by one.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 LONG_WORD = 64
 #: Distinct words a worker remembers between batches. Only a cache: beyond it, it starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
