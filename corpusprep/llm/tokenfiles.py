@@ -32,9 +32,9 @@ MAGIC = b"DACTOK01"
 LEVELS = (np.dtype("<u1"), np.dtype("<u1"), np.dtype("<u2"))
 RANK_BLOCK = 512
 #: A task begins a new file when one holds this many tokens, whatever the size of its partition.
-FILE_TOKENS = 4_000_000
+FILE_TOKENS = 2_000_000
 #: Bytes of text encoded at a time.
-PIECE = 8 << 20
+PIECE = 4 << 20
 _BITS = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
