@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import archives, bpe, langid, licenses, mixing, secrets, simhash, tokenfiles
+from corpusprep.llm import archives, bpe, hnsw, langid, licenses, mixing, secrets, simhash, tokenfiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,10 @@ def op6_simhash(spark, sf):
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_neighbours(spark, sf):
+    return hnsw.nearest(_table(spark, sf, "embeddings"), lambda i: i % 100 == 0, k=10)
+
+
 def op8_archives(spark, sf):
     read = archives.archived(_table(spark, sf, "pages"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -101,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op3_token_files": op3_token_files,
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
+        "op7_neighbours": op7_neighbours,
         "op8_archives": op8_archives,
         "op9_secrets": op9_secrets,
         "op10_bpe": op10_bpe,
@@ -116,7 +121,7 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {_PAYLOADS}, marked AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM payloads), "
             "held AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM marked) "
             "SELECT page_id, payload_bytes, payload_digest, "
-            "CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type, "
-            "CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to FROM held"
+            "CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM holder THEN 'revisit' ELSE 'response' END AS record_type, "
+            "CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM holder THEN holder END AS refers_to FROM held"
         ),
     }
