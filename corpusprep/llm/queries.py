@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import archives, bpe, hnsw, langid, licenses, mixing, secrets, simhash, tokenfiles
+from corpusprep.llm import archives, bpe, descent, hnsw, langid, licenses, mixing, secrets, simhash, tokenfiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,10 @@ def op3_token_files(spark, sf):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_near_vectors(spark, sf):
+    return descent.near_vectors(_table(spark, sf, "embeddings"), 0.93)
+
+
 def op5_mixing(spark, sf):
     mixed = mixing.mix(_table(spark, sf, "documents"), F.array("source"))
     return mixed.select(
@@ -103,6 +107,7 @@ def queries() -> dict[str, Query]:
         "op1_licenses": op1_licenses,
         "op2_language_id": op2_language_id,
         "op3_token_files": op3_token_files,
+        "op4_near_vectors": op4_near_vectors,
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
         "op7_neighbours": op7_neighbours,
@@ -117,6 +122,18 @@ _PAYLOADS = "payloads AS (SELECT page_id, encode(coalesce(html, '')) AS body FRO
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_near_vectors": (
+            "WITH RECURSIVE good AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings "
+            "WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 "
+            "AND len(list_filter(embedding, lambda x: x <> 0)) > 0), "
+            "links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id "
+            "WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.93), "
+            "reached AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a), "
+            "least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a), "
+            "degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a) "
+            "SELECT e.vec_id AS vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept "
+            "FROM embeddings e JOIN least ON e.vec_id = least.a LEFT JOIN degrees d ON e.vec_id = d.a"
+        ),
         "op8_archives": (
             f"WITH {_PAYLOADS}, marked AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM payloads), "
             "held AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM marked) "
