@@ -26,6 +26,14 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(array: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column without nulls, and where each text starts (one more entry)."""
     if isinstance(array, pa.ChunkedArray):

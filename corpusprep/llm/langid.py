@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import pieces, text_bytes
+from corpusprep.llm.common import free_name, pieces, text_bytes
 from corpusprep.operators.rows import column
 
 #: Labelled text of one language: at most about this many characters, a sample of blocks
@@ -112,12 +112,13 @@ class Parser:
             for state, out in enumerate(moves):
                 if out:
                     table[state, list(out)] = list(out.values())
-            # Where no match goes on, a phrase ends and the symbol begins the next one.
-            # A symbol that the language lacks is a phrase of its own.
-            restart = np.where(table[0] >= 0, table[0], 0)
-            goes_on = table >= 0
-            table = np.where(goes_on, table, restart[None, :]) * self.alphabet
-            self.tables.append((table << 1 | ~goes_on).astype(np.int32).ravel())
+            # Where no match goes on, the phrase ends and the symbol begins the next one. A
+            # symbol that the language lacks is a phrase of its own, after which none is open.
+            restart = np.maximum(table[0], 0)
+            ended = np.where(table >= 0, 0, np.where(table[0] >= 0, 1, 2))
+            ended[0] = table[0] < 0
+            target = np.where(table >= 0, table, restart[None, :]) * self.alphabet
+            self.tables.append((target << 2 | ended).astype(np.int32).ravel())
             self.bits.append(np.log2(max(len(text), 2)))
 
     def costs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,11 +153,11 @@ class Parser:
             symbol = symbols[first[:active] + step].astype(np.int32)
             for k, table in enumerate(self.tables):
                 move = table[state[k][:active] + symbol]
-                count[k, :active] += move & 1
-                state[k][:active] = move >> 1
+                count[k, :active] += move & 3
+                state[k][:active] = move >> 2
         for k, bits in enumerate(self.bits):
             # The phrase that the end of a block cuts off counts as well.
-            costs[:, k] = np.bincount(of, count[k] + 1, minlength=documents) * bits
+            costs[:, k] = np.bincount(of, count[k] + (state[k] > 0), minlength=documents) * bits
         return costs / np.maximum(sizes, 1)[:, None], letters
 
 
@@ -220,11 +221,12 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], text_col: st
     added = ["lang_pred", "score", "bits"]
     names = [c for c in docs.columns if c.lower() not in added]
     sent = [c for c in names if not (drop_text and c == text_col)]
+    whole = free_name(docs, "whole_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(samples) if samples else None
         for batch in batches:
-            data, offsets = text_bytes(batch.column("__text"))
+            data, offsets = text_bytes(batch.column(whole))
             for low, high in pieces(offsets, PIECE):
                 rows = high - low
                 langs: list[str] = [UNDETERMINED] * rows
@@ -241,7 +243,7 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], text_col: st
                 columns += [pa.array(langs, pa.string()), pa.array(score), pa.array(bits, mask=np.isnan(bits))]
                 yield pa.RecordBatch.from_arrays(columns, names=sent + added)
 
-    text = F.coalesce(column(text_col).cast("string"), F.lit("")).alias("__text")
+    text = F.coalesce(column(text_col).cast("string"), F.lit("")).alias(whole)
     schema = T.StructType(
         [docs.schema[c] for c in sent]
         + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits", T.DoubleType())]

@@ -113,6 +113,12 @@ def cheapest_flow(patterns: dict[tuple, int], quotas: dict, costs: tuple[int, ..
     return given
 
 
+def place_of(seed: int, id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Where a row stands in the seeded order: 60 bits."""
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), column(id_col).cast("bigint"), F.xxhash64(text)), 4)
+
+
 def sized(docs: DataFrame, sources: Column, seed: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, members, size, place``: sources, words and place in the seeded order.
 
@@ -120,26 +126,28 @@ def sized(docs: DataFrame, sources: Column, seed: int, id_col: str = "doc_id", t
     text have equal places and are taken equally often.
     """
     text = F.coalesce(column(text_col).cast("string"), F.lit(""))
-    rows = docs.select(
+    return docs.select(
         column(id_col).cast("bigint").alias("doc_id"),
-        F.array_sort(F.array_distinct(sources.cast("array<string>"))).alias("members"),
+        members_of(sources),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.xxhash64(F.lit(seed), column(id_col).cast("bigint"), F.xxhash64(text)).alias("place"),
+        place_of(seed, id_col, text_col).alias("place"),
     )
-    # Shifted to start at 0: 60 bits are used.
-    return rows.withColumn("place", F.shiftrightunsigned("place", 4))
+
+
+def members_of(sources: Column) -> Column:
+    return F.array_sort(F.array_distinct(sources.cast("array<string>"))).alias("members")
 
 
 def mix(docs: DataFrame, sources: Column, seed: int = 5, id_col: str = "doc_id", text_col: str = "text",
         weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """``doc_id, members, size, taken, times`` of every row, and the plan's columns.
+    """``doc_id, members, place, size, source_sizes, targets, times, taken`` of every row.
 
     Sources in the order of their code points, null last, have the weights in turn and share
     all words of the input; no target is above ``most`` times its source's size. ``members``
-    is the sorted array of sources, ``source_size`` and ``target`` are maps from source (null
-    as the empty-name key ``\\u0000``) to words. Rows with null text have size 0 and are taken
-    0 times; an empty table gives an empty one. The driver holds one row per membership
-    pattern and per source, never one per document.
+    is the sorted array of a row's sources, ``source_sizes`` and ``targets`` stand in the same
+    order. A row is taken ``times`` times, which makes ``taken`` words. Null texts have size 0;
+    rows equal in id, text and sources are taken equally often; an empty table gives an empty
+    one. The driver holds one row per membership pattern and per source, none per document.
     """
     spark = docs.sparkSession
     rows = cut_lineage(sized(docs, sources, seed, id_col, text_col), "sized")
@@ -167,7 +175,7 @@ def mix(docs: DataFrame, sources: Column, seed: int = 5, id_col: str = "doc_id",
     chosen = rows.join(plans.join(cuts, "members", "left"), "members", "left")
     times = F.col("every") + F.when(F.col("place") <= F.col("cut"), 1).otherwise(0)
     return chosen.select(
-        "doc_id", "members", "size", "source_sizes", "targets",
+        "doc_id", "members", "place", "size", "source_sizes", "targets",
         times.alias("times"), (F.col("size") * times).alias("taken"),
     )
 
@@ -201,3 +209,12 @@ def _crossing(sums: DataFrame, order: str) -> DataFrame:
     summed = sums.withColumn("upto", F.sum("words").over(running))
     reached = summed.filter((F.col("upto") >= F.col("left")) & (F.col("upto") - F.col("words") < F.col("left")))
     return reached.withColumn("left", F.col("left") - (F.col("upto") - F.col("words")))
+
+
+def repeated(docs: DataFrame, sources: Column, seed: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; rows without words are left out."""
+    times = mix(docs, sources, seed, id_col, text_col).filter("taken > 0").select("doc_id", "members", "place", "times").distinct()
+    marked = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("doc"), column(id_col).cast("bigint").alias("id"), members_of(sources).alias("of"), place_of(seed, id_col, text_col).alias("at"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("members")) & (F.col("at") == F.col("place"))
+    taken = marked.join(times, same).select("doc", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("time"))
+    return taken.select("doc.*")

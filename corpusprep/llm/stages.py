@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.llm import bpe, langid, mixing, queries, secrets, simhash
+from corpusprep.llm.common import free_name
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,28 +28,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Of repeated rows with that id, one stays. Rows without an id stay if their group has no
-    other row.
+    Of repeated rows with that id, one stays. Documents without an id all stay.
     """
     near = simhash.near_duplicates(docs, words=3, radius=2)
     firsts = near.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id is null"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts replaced; ``n_chars`` follows the text."""
-    clean = secrets.redact(docs.withColumn("__before", F.length("text")))
-    changed = F.length("text") != F.col("__before")
-    return clean.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    before = free_name(docs, "size_before")
+    clean = secrets.redact(docs.withColumn(before, F.length("text")))
+    changed = F.length("text") != F.col(before)
+    size = F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", size).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: some not at all, some up to three times."""
-    mixed = mixing.mix(docs, F.array("source")).filter("taken > 0")
-    times = mixed.select("doc_id", "times")
-    return docs.join(times, "doc_id").withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*docs.columns)
-
+    return mixing.repeated(docs, F.array("source"))
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -205,7 +205,7 @@ def write_token_files(
 
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            for low, high in pieces(offsets, PIECE):
+            for low, high in pieces(offsets, min(PIECE, 4 * file_tokens)):
                 part = offsets[low : high + 1] - offsets[low]
                 ids, lengths = words.texts(data[offsets[low] : offsets[high]], part, specials)
                 lists.append(np.insert(ids, np.cumsum(lengths), end_id))
