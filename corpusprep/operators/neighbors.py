@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from corpusprep.operators.rows import column, cut_lineage
 from corpusprep.operators.skew import hot_join
 
-TILE_ROWS = 4096
-_STRIP_ROWS = 1024
+TILE_ROWS = 1 << 14
+_STRIP_ROWS = 512
 _SLACK = 1e-6
 
 
@@ -71,11 +71,6 @@ class PivotCells:
     def single(self) -> bool:
         return len(self.pivots) < 2
 
-    @property
-    def limit(self) -> int:
-        """How many cells there can be."""
-        return max(1, len(self.pivots))
-
     def place(self, base: DataFrame, probe: DataFrame, radius: float | str) -> tuple[DataFrame, DataFrame]:
         """Both tables with a ``cell``. ``radius`` is an angle, or the probe column holding one."""
         if self.single:
@@ -136,13 +131,20 @@ class SignBands:
     single = False
 
     def __post_init__(self) -> None:
-        if self.bands < 1 or not 1 <= self.bits <= 16 or self.limit > 1 << 20:
-            raise ValueError("at most 16 bits per band, and 2**20 cells over all bands")
+        if self.bands < 1 or not 1 <= self.bits <= 48:
+            raise ValueError("a band has 1 to 48 bits")
 
-    @property
-    def limit(self) -> int:
-        """How many cells there can be."""
-        return self.bands << self.bits
+    @classmethod
+    def for_recall(cls, threshold: float, recall: float = 0.95, rows: int = 0, cell_rows: int = 256, seed: int = 42) -> "SignBands":
+        """Bands that meet a recall for pairs at the threshold.
+
+        Bits grow with the logarithm of the rows, so that a cell of unrelated vectors has about
+        ``cell_rows``; two vectors at the threshold share a sign with probability
+        ``1 - angle / pi``, which gives the number of bands that reach ``recall``.
+        """
+        bits = min(48, max(1, round(math.log2(max(2.0, rows / cell_rows)))))
+        same = (1 - math.acos(threshold) / math.pi) ** bits
+        return cls(max(1, math.ceil(math.log(1 - recall) / math.log1p(-same))) if same < 1 else 1, bits, seed)
 
     def place(self, base: DataFrame, probe: DataFrame, radius: float | str) -> tuple[DataFrame, DataFrame]:
         return self._banded(base), self._banded(probe)
@@ -158,7 +160,7 @@ class SignBands:
                 planes = np.random.default_rng(seed).standard_normal((matrix.shape[1], bands * bits))
                 positive = (matrix @ planes > 0).reshape(-1, bands, bits)
                 codes = positive @ (1 << np.arange(bits, dtype=np.int64))
-                cells = codes + (np.arange(bands, dtype=np.int64) << bits)
+                cells = codes + (np.arange(bands, dtype=np.int64) << np.int64(bits))
                 copied = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), bands)))
                 yield pa.RecordBatch.from_arrays(
                     [*copied.columns, pa.array(cells.ravel())], names=[*batch.schema.names, "cell"]
@@ -185,32 +187,35 @@ def tile_join(
     radius: float | str,
     reducer: Reducer,
     schema: str,
-    rows: int,
+    rows: int | tuple[int, int],
     tile: int = TILE_ROWS,
 ) -> DataFrame:
     """Bring every probe row together with the base rows of its cells, tile by tile.
 
-    ``rows`` is an upper bound on the size of either table; it saves a counting pass when
+    ``rows`` are upper bounds on the sizes of the two tables, or one for both; each table is
+    cut by its own size, so a few probe rows copy no base row. They save a counting pass when
     there is a single cell. Extra numeric columns of both tables reach the reducer.
     """
+    base_rows, probe_rows = rows if isinstance(rows, tuple) else (rows, rows)
     base, probe = cells.place(base, probe, radius)
     if cells.single:
-        tiles = F.lit(max(1, math.ceil(rows / tile)))
-        base = base.withColumns({"base_tiles": tiles, "probe_tiles": tiles})
-        probe = probe.withColumns({"base_tiles": tiles, "probe_tiles": tiles})
+        tiles = {
+            "base_tiles": F.lit(max(1, math.ceil(base_rows / tile))),
+            "probe_tiles": F.lit(max(1, math.ceil(probe_rows / tile))),
+        }
+        base, probe = base.withColumns(tiles), probe.withColumns(tiles)
     else:
         sizes = (
             base.groupBy("cell").agg(F.count(F.lit(1)).alias("b"), F.lit(0).cast("bigint").alias("p"))
             .unionByName(probe.groupBy("cell").agg(F.lit(0).cast("bigint").alias("b"), F.count(F.lit(1)).alias("p")))
             .groupBy("cell").agg(F.sum("b").alias("b"), F.sum("p").alias("p"))
         )
-        # Only cells over one tile need splitting; there are at most ``cells.limit`` cells.
+        # Only cells over one tile need splitting: at most (all rows / tile) of them.
         large = sizes.filter((F.col("b") > tile) | (F.col("p") > tile)).select(
             "cell",
             F.ceil(F.col("b") / tile).cast("int").alias("base_tiles"),
             F.ceil(F.col("p") / tile).cast("int").alias("probe_tiles"),
         )
-        large = F.broadcast(large)
         one = {name: F.greatest(F.coalesce(name, F.lit(1)), F.lit(1)) for name in ("base_tiles", "probe_tiles")}
         base = base.join(large, "cell", "left").withColumns(one)
         probe = probe.join(large, "cell", "left").withColumns(one)
@@ -391,16 +396,17 @@ def similar_pairs_approx(
     vector: str,
     threshold: float,
     order: str = "row_index",
-    bands: int = 16,
-    bits: int = 8,
+    recall: float = 0.95,
     seed: int = 42,
     tile: int = TILE_ROWS,
 ) -> DataFrame:
     """Like ``similar_pairs``, comparing only vectors that share a band of signs.
 
-    May miss pairs, never reports a wrong one: every candidate is checked exactly.
+    Finds a pair at the threshold with probability ``recall``, closer ones more surely, and
+    never reports a wrong one: every candidate is checked exactly.
     """
-    return _pairs(df, vector, order, threshold, SignBands(bands, bits, seed), tile)
+    rows = df.count()
+    return _pairs(df, vector, order, threshold, SignBands.for_recall(threshold, recall, rows, seed=seed), tile)
 
 
 def top_k(query: DataFrame, corpus: DataFrame, k: int, tile: int = TILE_ROWS, cells: PivotCells | None = None) -> DataFrame:
@@ -413,7 +419,7 @@ def top_k(query: DataFrame, corpus: DataFrame, k: int, tile: int = TILE_ROWS, ce
         raise ValueError("k must be positive")
     schema = "query_id bigint, match_id bigint, similarity double"
     corpus_rows, query_rows = corpus.count(), query.count()
-    rows = max(corpus_rows, query_rows)
+    rows = (corpus_rows, query_rows)
     cells = cells or PivotCells.choose(corpus, corpus_rows, tile)
     radius: float | str = math.pi
     if not cells.single:

@@ -30,6 +30,8 @@ from corpusprep.operators.skew import hot_join
 
 FIRST_BLOCK = 1 << 15
 MAX_BLOCK = 1 << 22
+#: Ranges of ids that are counted at a time to find where a block ends.
+BUCKETS = 4096
 
 
 def greedy_representatives(
@@ -58,28 +60,56 @@ def greedy_representatives(
     kept: list[DataFrame] = []
     undecided, block = units, first_block
     while rows:
-        head = undecided
+        head, head_rows = undecided, rows
         if rows > block:
-            cutoff = undecided.approxQuantile("id", [block / rows], 0.01)[0]
-            head = undecided.filter(F.col("id") <= int(cutoff))
-        size = min(rows, 2 * block)
-        beaten = tile_join(head, head, cells, radius, has_lower(threshold), ids, size, tile)
+            last, head_rows = block_end(undecided, block)
+            head = undecided.filter(F.col("id") <= F.lit(last))
+        beaten = tile_join(head, head, cells, radius, has_lower(threshold), ids, head_rows, tile)
         fresh = cut_lineage(head.join(beaten, "id", "left_anti"), "kept")
         fresh_rows = fresh.count()
+        if not fresh_rows:
+            raise RuntimeError("a round decided no row: ids must be unique and not null")
         kept.append(fresh)
         if fresh_rows == rows:
             break
-        removed = tile_join(fresh, undecided, cells, radius, has_lower(threshold), ids, rows, tile)
+        removed = tile_join(fresh, undecided, cells, radius, has_lower(threshold), ids, (fresh_rows, rows), tile)
         decided = removed.unionByName(fresh.select("id"))
         undecided = cut_lineage(undecided.join(decided, "id", "left_anti"), "undecided")
         rows = undecided.count()
-        if block < max_block or 2 * fresh_rows >= block:
+        if block < max_block or 2 * fresh_rows >= head_rows:
             block *= 2
     if not kept:
         return units.limit(0)
     return reduce(DataFrame.unionByName, kept)
 
 
+def block_end(undecided: DataFrame, block: int, buckets: int = BUCKETS) -> tuple[int, int]:
+    """The last id of a block of the lowest rows, and the exact size of the block.
+
+    The block has at most ``block`` rows and at least half as many. Ids are counted in equal
+    ranges; while the block would end inside a range, that range is counted again, finer. All
+    numbers are integers, and at most ``buckets`` counts reach the driver at a time.
+    """
+    low, high = undecided.agg(F.min("id"), F.max("id")).first()
+    size, last = 0, low - 1
+    while True:
+        width = -(-(high - low + 1) // buckets)
+        place = ((F.col("id").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)"))
+        counts = (
+            undecided.filter(F.col("id").between(low, high))
+            .groupBy(F.floor(place).cast("bigint").alias("range")).agg(F.count(F.lit(1)).alias("n")).collect()
+        )
+        for part, n in sorted((r["range"], r["n"]) for r in counts):
+            if size + n > block:
+                break
+            size, last = size + n, min(high, low + (part + 1) * width - 1)
+        else:
+            return last, size
+        if 2 * size >= block or width == 1:
+            return last, size
+        low, high = low + part * width, min(high, low + (part + 1) * width - 1)
+
+
 @dataclass
 class SemanticDedup:
     """The outcome of ``semantic_dedup``; every member is a lazy table."""
@@ -143,18 +173,20 @@ class SemanticDedup:
     def _links(self) -> DataFrame:
         """``id, match, similarity`` of every dropped row, with the best representative before it."""
         base = self.fresh
+        probe = self.units.join(self.fresh.select("id"), "id", "left_anti").select("id", "digest", "vec")
+        base_rows = self.unit_rows
         if self.known is not None:
             earlier = self.known.filter("key <> ''").select(F.col("row_index").alias("id"), "vec")
             base = base.unionByName(earlier)
+            base_rows = base.count()
+            # Keys that are known already match the row that has them, whatever the vectors say.
+            same = self._same_keys()
+            probe = probe.join(same.select("digest"), "digest", "left_anti")
         # A distinct key can be dropped at several row numbers. The representatives that raise
         # the best similarity, in row order, answer for all of them at once.
-        probe = self.units.join(self.fresh.select("id"), "id", "left_anti").select("id", "vec")
-        bound = self.unit_rows
-        if self.known is not None and self.cells.single:
-            bound = max(bound, base.count())
         steps = tile_join(
-            base, probe, self.cells, math.acos(self.threshold), improving(self.threshold),
-            "id bigint, match bigint, similarity double", bound, self.tile,
+            base, probe.select("id", "vec"), self.cells, math.acos(self.threshold), improving(self.threshold),
+            "id bigint, match bigint, similarity double", (base_rows, self.unit_rows), self.tile,
         )
         before = Window.partitionBy("id").orderBy("match").rowsBetween(Window.unboundedPreceding, -1)
         after = Window.partitionBy("id").orderBy("match")
@@ -171,6 +203,10 @@ class SemanticDedup:
             F.lit(1.0).alias("similarity"),
             F.lit(None).cast("bigint").alias("until"),
         )
+        if self.known is not None:
+            own = own.unionByName(
+                same.select("id", "match", F.lit(1.0).alias("similarity"), F.lit(None).cast("bigint").alias("until"))
+            )
         unit_steps = self.units.select("digest", "id").join(steps.unionByName(own), "id").drop("id")
         rows = self.rows.filter("key <> ''").select("row", "digest")
         sizes = self.units.select("digest", F.col("copies").alias("n"))
@@ -184,6 +220,11 @@ class SemanticDedup:
             .unionByName(self._blank_links())
         )
 
+    def _same_keys(self) -> DataFrame:
+        """``digest, id, match``: distinct keys of this input that an earlier representative has."""
+        seen = self.known.filter("key <> ''").groupBy(key_digest(F.col("key")).alias("digest")).agg(F.min("row_index").alias("match"))
+        return self.units.select("digest", "id").join(seen, "digest")
+
     def _blank_links(self) -> DataFrame:
         blanks = self.rows.filter("key = ''").select(F.col("row").alias("id"))
         first = self._first_blank().select(F.col("id").alias("match"))
@@ -299,16 +340,22 @@ def semantic_dedup(
         units = encode(source.join(firsts.hint("merge"), "id"), "key", encoder, name="vec").drop("key")
     units = cut_lineage(units.select("digest", "id", "copies", "vec"), "units")
     unit_rows = units.count()
-    if cells is None:
-        cells = SignBands() if index == "hnsw" else PivotCells.choose(units, unit_rows, tile)
+    earlier, earlier_rows = None, 0
+    if known is not None:
+        earlier = known.filter("key <> ''").select(F.col("row_index").alias("id"), "vec")
+        earlier_rows = earlier.count()
+    if cells is None and index == "hnsw":
+        cells = SignBands.for_recall(threshold, rows=max(unit_rows, earlier_rows))
+    elif cells is None and earlier_rows > unit_rows:
+        cells = PivotCells.choose(earlier, earlier_rows, tile)
+    elif cells is None:
+        cells = PivotCells.choose(units, unit_rows, tile)
 
     open_units = units.select("id", "vec")
     open_rows = unit_rows
     if known is not None:
-        earlier = known.filter("key <> ''").select(F.col("row_index").alias("id"), "vec")
-        bound = max(unit_rows, earlier.count()) if cells.single else unit_rows
         beaten = tile_join(
-            earlier, open_units, cells, math.acos(threshold), has_lower(threshold), "id bigint", bound, tile
+            earlier, open_units, cells, math.acos(threshold), has_lower(threshold), "id bigint", (earlier_rows, unit_rows), tile
         )
         same_key = (
             units.select("id", "digest")

@@ -237,3 +237,45 @@ def test_empty(spark):
     outcome = S.semantic_dedup(df)
     assert outcome.kept().count() == 0 and outcome.matches().count() == 0
     assert outcome.stats().first().unique_values == 0
+
+
+def test_blocks_end_where_they_should(spark):
+    ids = [2**53 + 1 + 2 * k for k in range(50)] + [-(2**62), 5, 2**62] + list(range(1000, 1400))
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    ordered = sorted(ids)
+    for block in (1, 2, 3, 40, 200, 453):
+        for buckets in (2, 7, 4096):
+            last, size = S.block_end(df, block, buckets)
+            assert size == sum(i <= last for i in ordered) and block >= size >= block / 2
+
+
+@pytest.mark.parametrize("first", [0, 2**53 + 1])
+def test_many_small_blocks_on_unlike_rows(spark, monkeypatch, first):
+    matrix = unit(np.random.default_rng(8).standard_normal((1500, 24)))
+    rows = [(first + 2 * k, row.tolist()) for k, row in enumerate(matrix)]
+    df = spark.createDataFrame(rows, "id bigint, vec array<double>")
+    cuts = []
+    real = S.cut_lineage
+    monkeypatch.setattr(S, "cut_lineage", lambda table, name="table": cuts.append(name) or real(table, name))
+    kept = S.greedy_representatives(df, 0.95, N.PivotCells(np.empty((0, 0))), 1500, first_block=2, max_block=4)
+    assert kept.count() == 1500 and cuts.count("kept") <= 12
+
+
+def test_tiles_follow_their_own_tables(spark):
+    rng = np.random.default_rng(9)
+    base = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(unit(rng.standard_normal((400, 4))))], "id bigint, vec array<double>")
+    probe = base.limit(10)
+    met = N.tile_join(
+        base, probe, N.PivotCells(np.empty((0, 0))), 0.5, lambda b, p, c: [np.array([len(b["id"])]), np.array([len(p["id"])])],
+        "left bigint, right bigint", (400, 10), 40,
+    ).collect()
+    assert len(met) <= 10 and sum(r.left for r in met) == 400 and {r.right for r in met} == {10}
+
+
+def test_every_dropped_row_has_its_match(spark):
+    matrix = unit(np.random.default_rng(10).standard_normal((50, 7)))
+    known = spark.createDataFrame([(k, f"t{k}", None, v.tolist()) for k, v in enumerate(matrix)], "row_index bigint, key string, category string, vec array<double>")
+    again = spark.createDataFrame([(100 + k, f"t{k}", v.astype("float32").tolist()) for k, v in enumerate(matrix)], "row_index bigint, text string, embedding array<float>")
+    outcome = S.semantic_dedup(again, threshold=1.0, known=known)
+    assert outcome.kept().count() == 0
+    assert sorted((r.row_index, r.duplicate_of_row_index) for r in outcome.matches().collect()) == [(100 + k, k) for k in range(50)]
