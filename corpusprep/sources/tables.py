@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from pathlib import PurePosixPath
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.operators.rows import column
+from corpusprep.sources.records import csv_records
+
 FORMATS = {".csv": "csv", ".parquet": "parquet"}
+# Words that stand for a missing cell.
+MISSING_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null",
+)
 
 
 def _format(path: str) -> str:
@@ -27,63 +32,40 @@ def csv_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_csv(
-    spark: SparkSession,
-    path: str,
-    keep_blank_lines: bool = True,
-    na_values: tuple[str, ...] = (),
-    multi_line: bool = False,
+    spark: SparkSession, path: str, keep_blank_lines: bool = True, na_values: tuple[str, ...] = MISSING_WORDS
 ) -> DataFrame:
     """CSV files with a header; every column is text, so a number keeps its spelling.
 
-    Empty lines are rows of missing values when ``keep_blank_lines`` is set. That needs one
-    record per line: with ``multi_line`` (quoted cells that span lines) empty lines are lost,
-    as Spark's CSV reader skips them. ``na_values`` lists further words for a missing cell.
+    Quoted cells keep their line breaks, and empty lines are rows of missing values unless
+    ``keep_blank_lines`` is off. Cells that are empty or one of ``na_values`` are missing; pass
+    ``()`` to keep such words. A header must stand in the first lines of each file.
     """
     if _format(path) != "csv":
         raise ValueError(f"not a CSV file: {path}")
     names = csv_columns(spark, path)
     if not names:
         return spark.createDataFrame([], T.StructType([]))
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    if multi_line or not keep_blank_lines:
-        table = spark.read.schema(schema).csv(path, header=True, multiLine=multi_line, escape='"')
-    else:
-        fields = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in names)
-        parsed = F.from_csv("value", F.lit(fields), {"escape": '"'})
-        table = _without_headers(spark.read.text(path)).select(parsed.alias("r")).select("r.*")
-    if na_values:
-        table = table.select(
-            *(F.when(~F.col(f"`{n}`").isin(*na_values), F.col(f"`{n}`")).alias(n) for n in names)
+    records = csv_records(spark, path)
+    if not keep_blank_lines:
+        records = records.filter("value <> ''")
+    fields = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in names)
+    # The parser reads one record: a line break inside a cell is a character like any other.
+    parsed = F.from_csv("value", F.lit(fields), {"escape": '"', "maxCharsPerColumn": "-1", "multiLine": "true"})
+    table = records.select(parsed.alias("r")).select("r.*")
+    return _without(table, na_values)
+
+
+def _without(table: DataFrame, na_values: tuple[str, ...]) -> DataFrame:
+    """Text cells that are empty or one of the words become missing."""
+    if not na_values:
+        return table
+    return table.select(
+        *(
+            F.when(~column(f.name).isin(*na_values), column(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else column(f.name)
+            for f in table.schema
         )
-    return table
-
-
-def _without_headers(lines: DataFrame) -> DataFrame:
-    """Drop the first line of every file.
-
-    It is the first row of the split at offset 0. Batches are only sliced, never decoded.
-    """
-    placed = lines.select(
-        "value",
-        F.xxhash64("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
     )
 
-    def slice_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            files, starts = batch.column("file").to_numpy(), batch.column("start").to_numpy()
-            values = batch.select(["value"])
-            change = np.flatnonzero((files[1:] != files[:-1]) | (starts[1:] != starts[:-1])) + 1
-            bounds = [0, *change.tolist(), batch.num_rows] if batch.num_rows else []
-            for begin, end in zip(bounds, bounds[1:], strict=False):
-                split = (files[begin], starts[begin])
-                skip = int(split != last and split[1] == 0)
-                last = split
-                yield values.slice(begin + skip, end - begin - skip)
-
-    return placed.mapInArrow(slice_off, "value string")
-
 
 def count_rows(table: DataFrame) -> int:
     """Number of records; 0 for an empty table."""
@@ -95,24 +77,23 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path) if _format(path) == "csv" else spark.read.parquet(path)
 
 
-def spread_small(table: DataFrame, path: str, limit: int = 256 << 20) -> DataFrame:
-    """Spread a small file over all cores; leave anything above ``limit`` bytes alone.
+def stream_table(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | str,
+    kind: str = "csv",
+    files_per_batch: int = 1,
+    na_values: tuple[str, ...] = MISSING_WORDS,
+) -> DataFrame:
+    """A folder of files as a stream, a bounded number of files per micro-batch.
 
-    A small file is read by one task however much work follows. Large inputs come in many
-    splits and need no shuffle; the size is looked up, not assumed.
+    CSV files may have line breaks in quoted cells, so each is read by one task. Missing words
+    are as in ``read_csv``; empty lines are left out, as Spark's CSV reader skips them.
     """
-    spark = table.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    listing = spark.read.format("binaryFile").load(path).agg(F.sum("length"))
-    size = listing.first()[0] or 0
-    return table.repartition(cores) if 1 << 20 < size <= limit else table
-
-
-def stream_table(spark: SparkSession, folder: str, schema: T.StructType | str, kind: str = "csv", files_per_batch: int = 1) -> DataFrame:
-    """A folder of files as a stream, a bounded number of files per micro-batch."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if kind == "csv":
-        reader = reader.option("header", True).option("escape", '"')
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
+        return _without(reader.format(kind).load(folder), na_values)
     return reader.format(kind).load(folder)
 
 
@@ -120,7 +101,7 @@ def write_table(table: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A table as a folder of CSV files with header, or of Parquet files."""
     writer = table.write.mode(mode)
     if _format(path) == "csv":
-        writer.csv(path, header=True, escape='"')
+        writer.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     else:
         writer.parquet(path)
 

@@ -1,7 +1,9 @@
 """Reading and writing."""
 
+import csv
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,13 +19,49 @@ def test_csv_keeps_blank_lines(spark, tmp_path):
     folder.mkdir()
     (folder / "a.csv").write_text('id,text\n1,"a ""b"", c"\n\n,2\n 007 ,NA\nid,text\n', encoding="utf8")
     (folder / "b.csv").write_text("id,text\n5,e\n", encoding="utf8")
-    rows = sorted((tuple(r) for r in io.read_csv(spark, str(folder)).collect()), key=str)
+    rows = sorted((tuple(r) for r in io.read_csv(spark, str(folder), na_values=()).collect()), key=str)
     expected = [("1", 'a "b", c'), (None, None), (None, "2"), (" 007 ", "NA"), ("id", "text"), ("5", "e")]
     assert rows == sorted(expected, key=str)
-    table = io.read_csv(spark, str(folder), na_values=("NA",))
+    table = io.read_csv(spark, str(folder))
     assert io.count_rows(table) == 6 and table.filter("text IS NULL").count() == 2
     assert io.read_csv(spark, str(folder), keep_blank_lines=False).count() == 5
-    assert cleaning_stats(io.read_csv(spark, str(folder))).first().removed_blank_rows == 1
+    assert cleaning_stats(io.read_csv(spark, str(folder))).first().removed_blank_rows == 2
+
+
+@pytest.mark.parametrize("split", [40, 300, 5000])
+def test_csv_cells_with_line_breaks_in_any_split(spark, tmp_path, split):
+    rng = random.Random(split)
+    cells = ["a", 'say ""x"", y', "one\ntwo", "\n\n", 'q"in', "long " * 30 + "\n" + "line\n" * 20, "", "NA", 'end""', "  blanks  "]
+    rows = [(str(k), rng.choice(cells), rng.choice(cells)) for k in range(300)]
+
+    def cell(text):
+        return '"' + text.replace('""', '"').replace('"', '""') + '"' if any(c in text for c in ',\n') or text[:1] == '"' else text
+
+    lines = []
+    for row in rows:
+        lines.append(",".join(map(cell, row)))
+        if rng.random() < 0.1:
+            lines.append("")
+    path = tmp_path / "x.csv"
+    path.write_text("id,a,b\n" + "\n".join(lines) + "\n", encoding="utf8")
+    with open(path, newline="", encoding="utf8") as file:
+        want = [tuple(x or None for x in r) if r else (None, None, None) for r in csv.reader(file)][1:]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        got = [tuple(r) for r in io.read_csv(spark, str(path), na_values=("",)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_csv_stream_with_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([("1", "a\nb"), ("2", "NA"), ("3", "c")], "id string, text string")
+    io.write_table(df.coalesce(1), str(tmp_path / "in.csv"))
+    stream = io.stream_table(spark, str(tmp_path / "in.csv"), "id string, text string")
+    stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("1", "a\nb"), ("2", None), ("3", "c")]
 
 
 def test_csv_in_several_splits_loses_only_headers(spark, tmp_path):
@@ -40,7 +78,7 @@ def test_csv_in_several_splits_loses_only_headers(spark, tmp_path):
 def test_csv_chinese_header_multi_line_and_empty(spark, tmp_path):
     path = tmp_path / "m.csv"
     path.write_text('用户问题,n\n"a\nb",1\n', encoding="utf8")
-    (row,) = io.read_csv(spark, str(path), multi_line=True).collect()
+    (row,) = io.read_csv(spark, str(path)).collect()
     assert (row["用户问题"], row.n) == ("a\nb", "1")
     only_header = tmp_path / "h.csv"
     only_header.write_text("a,b\n", encoding="utf8")
@@ -93,10 +131,3 @@ def test_run_metadata(spark, tmp_path):
     assert "clustering_stats" not in document
 
 
-def test_spread_small_reads_the_same_rows(spark, tmp_path):
-    path = str(tmp_path / "t.parquet")
-    spark.range(400000).select(F.uuid().alias("u")).coalesce(1).write.parquet(path)
-    table = spark.read.parquet(path)
-    spread = io.spread_small(table, path)
-    assert spread.count() == 400000 and spread.rdd.getNumPartitions() == 8
-    assert io.spread_small(table, path, limit=1) is table
