@@ -7,7 +7,7 @@ import sys
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -272,8 +272,13 @@ def top_k_neighbors(spark, sf):
 
 
 def encoded_documents(spark, sf):
+    """Size and length of the vectors, and how many documents share each one."""
     encoded = encode(_documents(spark, sf).select("doc_id", "text"), "text")
-    return encoded.select("doc_id", F.size("embedding").alias("dimensions"), F.round(V.inner_product(F.col("embedding"), F.col("embedding")), 4).alias("squared_norm"))
+    same = F.count(F.lit(1)).over(Window.partitionBy(F.xxhash64("embedding"), F.xxhash64(F.reverse("embedding"))))
+    return encoded.select(
+        "doc_id", F.size("embedding").alias("dimensions"),
+        F.round(V.inner_product(F.col("embedding"), F.col("embedding")), 4).alias("squared_norm"), same.alias("copies"),
+    )
 
 
 # --- semantic deduplication ----------------------------------------------------------------
@@ -313,8 +318,9 @@ def semantic_matches_texts(spark, sf):
 def semantic_dedup_two_parts(spark, sf):
     """Two loads, the second one against the representatives of the first."""
     rows = with_row_index(_vectors(spark, sf).withColumnRenamed("row_index", "vec_id"), "label", "vec_id")
-    first = semantic_dedup(rows.filter("label < 5"), threshold=SIMILAR)
-    second = semantic_dedup(rows.filter("label >= 5"), threshold=SIMILAR, known=first.representatives())
+    early = F.coalesce(F.col("label"), F.lit(0)) < 5
+    first = semantic_dedup(rows.filter(early), threshold=SIMILAR)
+    second = semantic_dedup(rows.filter(~early), threshold=SIMILAR, known=first.representatives())
     return first.kept().unionByName(second.kept()).select("row_index", "vec_id")
 
 
@@ -456,6 +462,17 @@ def _stream(table: DataFrame, *order: str) -> DataFrame:
     return io.stream_table(spark, source, table.schema, "parquet", files_per_batch=8)
 
 
+def _in_order(table: DataFrame, order: str, batches: int = 4) -> DataFrame:
+    """All rows as a stream whose micro-batches follow each other in the order of a column."""
+    spark = table.sparkSession
+    source = _folder(spark, "source")
+    placed = with_row_index(table, order, name="__place")
+    size = -(-placed.count() // batches)
+    for part in range(batches):  # files are taken by their time of writing
+        placed.filter(F.floor(F.col("__place") / max(size, 1)) == part).drop("__place").coalesce(1).write.mode("append").parquet(source)
+    return io.stream_table(spark, source, table.schema, "parquet")
+
+
 def clean_stream(spark, sf):
     return _drain(streams.clean_stream(_stream(_words(spark, sf), "doc_id", "pos")))
 
@@ -465,7 +482,15 @@ def cleaning_stats_stream(spark, sf):
 
 
 def dedup_stream(spark, sf):
-    """Which copy comes first within a micro-batch is open, so the keys are compared."""
+    """The first row of every key, with the documents arriving in the order of their ids."""
+    table = _table(spark, sf, "documents")
+    sink = streams.DedupStream(_folder(spark, "dedup"), order="doc_id")
+    sink.start(_in_order(table, "doc_id"), _folder(spark, "checkpoint")).awaitTermination()
+    return sink.kept(spark)
+
+
+def dedup_stream_state(spark, sf):
+    """Keys kept in streaming state; which copy of a micro-batch stays is open, so the keys are compared."""
     kept = _drain(streams.dedup_stream(_stream(_table(spark, sf, "documents"), "doc_id")))
     return kept.select(X.dedup_key(F.col("text")).alias("dedup_key"))
 
@@ -477,16 +502,9 @@ def dedup_stream_watermark(spark, sf):
 
 
 def semantic_dedup_stream(spark, sf):
-    rows = _vectors(spark, sf)
-    source = _folder(spark, "vectors")
-    for part in range(5):  # two labels after the other, in time order
-        rows.filter(F.col("label").isin(2 * part, 2 * part + 1)).withColumn(
-            "row_index", F.col("row_index") + F.lit(part * 10**12)
-        ).coalesce(1).write.mode("append").parquet(source)
-    stream = io.stream_table(spark, source, rows.schema, "parquet")
     sink = streams.SemanticDedupStream(_folder(spark, "semantic"), threshold=SIMILAR)
-    sink.start(stream, _folder(spark, "checkpoint")).awaitTermination()
-    return sink.kept(spark).select((F.col("row_index") % 10**12).alias("vec_id"), "label")
+    sink.start(_in_order(_vectors(spark, sf), "row_index"), _folder(spark, "checkpoint")).awaitTermination()
+    return sink.kept(spark).select(F.col("row_index").alias("vec_id"), "label")
 
 
 # --- contract ------------------------------------------------------------------------------
@@ -502,7 +520,7 @@ _QUERIES: list[Query] = [
     cluster_representatives, cluster_keywords, token_counts, cluster_rule_labels, cluster_label_context,
     cluster_summary, clustering_stats, cluster_analysis, clustered_rows, normalized_labels, kmeans_clusters,
     hdbscan_clusters, core_distances, projection, prompts, scored_rows, evaluation_stats, clean_stream,
-    cleaning_stats_stream, dedup_stream, dedup_stream_watermark, semantic_dedup_stream,
+    cleaning_stats_stream, dedup_stream, dedup_stream_state, dedup_stream_watermark, semantic_dedup_stream,
 ]
 
 
@@ -707,7 +725,7 @@ def oracle_sql() -> dict[str, str]:
             "r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, match_id) AS INTEGER) AS rank FROM s) "
             "SELECT query_id, match_id, round(sim, 6) AS similarity, rank FROM r WHERE rank <= 5"
         ),
-        "encoded_documents": "SELECT doc_id, 256 AS dimensions, CAST(1.0 AS DOUBLE) AS squared_norm FROM documents",
+        "encoded_documents": "SELECT doc_id, 4096 AS dimensions, CAST(1.0 AS DOUBLE) AS squared_norm, count(*) OVER (PARTITION BY text) AS copies FROM documents",
         "semantic_dedup_vectors": (
             f"WITH {_walk(_VECTOR_ROWS)} SELECT vec_id AS row_index, label FROM embeddings WHERE vec_id IN (SELECT id FROM reps)"
         ),
@@ -793,10 +811,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "clean_stream": f"WITH {_REASONS} SELECT doc_id, pos, text FROM reasons WHERE reason IS NULL",
         "cleaning_stats_stream": f"WITH {_REASONS} SELECT {_COUNTS} FROM reasons",
-        "dedup_stream": f"SELECT DISTINCT {_key('text')} AS dedup_key FROM documents",
+        "dedup_stream": f"WITH {_KEYED} SELECT doc_id, text, lang, source, n_chars FROM keyed QUALIFY {first_key}",
+        "dedup_stream_state": f"SELECT DISTINCT {_key('text')} AS dedup_key FROM documents",
         "dedup_stream_watermark": "SELECT DISTINCT event_type || ' ' || user_id AS text FROM events",
-        "semantic_dedup_stream": (
-            f"WITH {_walk('SELECT vec_id + (label // 2) * 1000000000000 AS id, embedding AS e FROM embeddings')} "
-            "SELECT id % 1000000000000 AS vec_id, label FROM reps JOIN embeddings ON vec_id = id % 1000000000000"
-        ),
+        "semantic_dedup_stream": f"WITH {_walk(_VECTOR_ROWS)} SELECT vec_id, label FROM reps JOIN embeddings ON vec_id = id",
     }

@@ -177,7 +177,7 @@ def normalize_label(value: Column) -> Column:
     quotes = f"[{WS}\"'“”‘’]+"
     text = F.regexp_replace(cell_text(value), f"(?s)[{line}].*$", "")
     text = F.regexp_replace(text, f"^{quotes}|{quotes}$", "")
-    text = F.regexp_replace(text, rf"^\p{{Nd}}+[.)、:\-][{WS}]*", "")
+    text = F.regexp_replace(text, rf"^[0-9]+[.)、:\-][{WS}]*", "")
     text = F.regexp_replace(text, f"^(?:标签|主题)[:：][{WS}]*", "")
     return F.btrim(text, F.lit(" .,!?:;，。！？；："))
 

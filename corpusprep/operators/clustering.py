@@ -22,16 +22,13 @@ def kmeans(
     points = df.filter(column(vector).isNotNull()).select(
         column(order).cast("bigint").alias("row_index"), array_to_vector(column(vector)).alias("features")
     )
+    # KMeans reads its input once per iteration: from a written table, which survives lost executors.
+    points = cut_lineage(points, "points")
     rows = points.count()
     if rows < k:
-        raise ValueError(f"KMeans 聚类需要至少 {k} 条非空文本，当前仅有 {rows} 条。")
-    # KMeans reads its input once per iteration.
-    points = points.persist()
-    try:
-        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="found").fit(points)
-        found = cut_lineage(model.transform(points).select("row_index", "found"), "kmeans")
-    finally:
-        points.unpersist()
+        raise ValueError(f"KMeans 的聚类数 {k} 大于可用文本数 {rows}")
+    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="found").fit(points)
+    found = cut_lineage(model.transform(points).select("row_index", "found"), "kmeans")
     # k rows.
     firsts = found.groupBy("found").agg(F.min("row_index").alias("first")).collect()
     numbers = {row.found: i for i, row in enumerate(sorted(firsts, key=lambda row: row.first))}

@@ -6,14 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, NGram, Normalizer
+from pyspark.ml.feature import IDF, HashingTF, NGram, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.operators.rows import column
+from corpusprep.operators.rows import column, once_per_worker
 
-# Called once per Python worker; returns the function that turns texts into vectors.
+# Called once per worker and name; returns the function that turns texts into vectors.
 EncoderFactory = Callable[[], Callable[[list[str]], np.ndarray]]
 
 
@@ -23,23 +23,27 @@ def encode(
     encoder: EncoderFactory | str = "char-ngrams",
     batch_size: int = 64,
     name: str = "embedding",
-    dimensions: int = 256,
+    dimensions: int = 4096,
+    model: str | None = None,
 ) -> DataFrame:
     """Add a unit vector for every text.
 
-    ``encoder`` is a factory for a batch function, run as an Arrow-batched function with the
-    model loaded once per worker, or ``"char-ngrams"``: hashed character trigrams, all
-    inside the JVM, a stand-in that finds texts of similar wording.
+    ``encoder`` is a factory for a batch function, run as an Arrow-batched function; with a
+    ``model`` name it is called once per Python worker and kept under that name, else once per
+    task. ``"char-ngrams"`` are character trigrams hashed to ``dimensions`` buckets, weighted
+    by their inverse document frequency over all rows, all inside the JVM: a stand-in that
+    finds texts of similar wording.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
     if encoder == "char-ngrams":
         return _char_ngrams(df, text, name, dimensions)
     factory = encoder
+    held = f"encoder {model}" if model else None
 
     @F.pandas_udf("array<float>")
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        run = factory()
+        run = once_per_worker(held, factory)
         for series in batches:
             texts = series.tolist()
             rows: list[np.ndarray] = []
@@ -57,7 +61,11 @@ def _char_ngrams(df: DataFrame, text: str, name: str, dimensions: int) -> DataFr
     chars = F.split(F.concat(F.lit(" "), column(text), F.lit(" ")), "")
     grams = NGram(n=3, inputCol="__chars", outputCol="__grams").transform(df.withColumn("__chars", chars))
     counted = HashingTF(numFeatures=dimensions, inputCol="__grams", outputCol="__counts").transform(grams)
-    scaled = Normalizer(p=2.0, inputCol="__counts", outputCol="__unit").transform(counted)
+    # One pass over all rows; a vector of document counts reaches the driver.
+    if counted.isEmpty():
+        return df.withColumn(name, F.lit(None).cast("array<float>"))
+    weighted = IDF(inputCol="__counts", outputCol="__weighted").fit(counted).transform(counted)
+    scaled = Normalizer(p=2.0, inputCol="__weighted", outputCol="__unit").transform(weighted)
     return scaled.withColumn(name, vector_to_array("__unit", "float32")).drop(
-        "__chars", "__grams", "__counts", "__unit"
+        "__chars", "__grams", "__counts", "__weighted", "__unit"
     )

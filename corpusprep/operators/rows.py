@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,18 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, object] = {}
+
+
+def once_per_worker(name: str | None, factory: Callable[[], object]):
+    """What ``factory`` makes, kept by the Python worker under ``name``; without one, made anew."""
+    if name is None:
+        return factory()
+    if name not in _HELD:
+        _HELD[name] = factory()
+    return _HELD[name]
+
+
 def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:
     """Add the 0-based position of each row in the given order.
 

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions.text import match_expected, render_prompt
-from corpusprep.operators.rows import column, target_value
+from corpusprep.operators.rows import column, cut_lineage, once_per_worker, target_value
 
 RESULT_COLUMN = "模型结果"
 TIME_COLUMN = "模型调用时间"
 EXPECTED_COLUMN = "预期结果"
 MATCH_COLUMN = "匹配预期"
 
-# Called once per task; returns the function that answers a batch of prompts.
+# Called once per worker and name; returns the function that answers a batch of prompts.
 PredictorFactory = Callable[[], Callable[[list[str]], list[str]]]
 
 
@@ -32,10 +32,13 @@ def score_rows(
     seconds: str = TIME_COLUMN,
     expected: str = EXPECTED_COLUMN,
     match: str = MATCH_COLUMN,
+    model: str | None = None,
 ) -> DataFrame:
     """Append the model's answer and its call time per row (batch seconds / rows).
 
-    Rows flow through in bounded Arrow batches, one model per task. With an ``expected``
+    Rows flow through in bounded Arrow batches. With a ``model`` name the predictor is made
+    once per Python worker and kept under that name, else once per task. Answers are written
+    once: what follows reads them and does not call the model again. With an ``expected``
     column, ``match`` says whether the answer equals it after text normalisation.
     """
     if batch_size < 1:
@@ -45,29 +48,30 @@ def score_rows(
         [*df.schema.fields, T.StructField(result, T.StringType()), T.StructField(seconds, T.DoubleType())]
     )
 
+    held = f"predictor {model}" if model else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = predictor()
+        predict = once_per_worker(held, predictor)
         for batch in batches:
-            for start in range(0, batch.num_rows, batch_size):
-                part = batch.slice(start, batch_size)
-                prompts = part.column("__prompt").to_pylist()
+            prompts = batch.column("__prompt").to_pylist()
+            answers: list[str] = []
+            times: list[float] = []
+            for start in range(0, len(prompts), batch_size):
+                asked = prompts[start : start + batch_size]
                 started = time.perf_counter()
-                answers = list(predict(prompts))
+                given = list(predict(asked))
                 elapsed = round(time.perf_counter() - started, 4)
-                if len(answers) != len(prompts):
+                if len(given) != len(asked):
                     raise ValueError("the predictor must return one answer per prompt")
-                each = round(elapsed / len(prompts), 4)
-                kept = [name for name in part.schema.names if name != "__prompt"]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(name) for name in kept),
-                        pa.array(answers, pa.string()),
-                        pa.array([each] * len(prompts), pa.float64()),
-                    ],
-                    names=[*kept, result, seconds],
-                )
+                answers += given
+                times += [round(elapsed / len(asked), 4)] * len(asked)
+            kept = [name for name in batch.schema.names if name != "__prompt"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in kept), pa.array(answers, pa.string()), pa.array(times, pa.float64())],
+                names=[*kept, result, seconds],
+            )
 
-    scored = prompted.mapInArrow(run, schema)
+    scored = cut_lineage(prompted.mapInArrow(run, schema), "answers")
     if expected in df.columns:
         scored = scored.withColumn(match, match_expected(column(expected), column(result)))
     return scored

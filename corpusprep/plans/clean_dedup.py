@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from corpusprep.operators.cleaning import clean, cleaning_stats
+from corpusprep.operators.cleaning import counters, with_removal_reason
 from corpusprep.operators.dedup import exact_dedup, exact_dedup_stats
-from corpusprep.operators.rows import with_row_index
+from corpusprep.operators.rows import cut_lineage, with_row_index
 from corpusprep.operators.semantic import SemanticDedup, semantic_dedup
 
 
@@ -32,8 +33,10 @@ def clean_then_dedup(
     """
     if mode not in ("exact", "semantic"):
         raise ValueError(f"unknown mode: {mode}")
-    stats = cleaning_stats(df, target)
-    usable = clean(df, target)
+    # One pass over the input marks every row; counts and clean rows come from the marks.
+    marked = cut_lineage(with_removal_reason(df, target, "__reason"), "marked")
+    stats = marked.agg(*counters(F.col("__reason")))
+    usable = marked.filter(F.col("__reason").isNull()).drop("__reason")
     if order == "row_index":
         usable = usable.withColumnRenamed("row_index", "__order")
         cleaned = with_row_index(usable, "__order").drop("__order")

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusprep.functions.text import dedup_key, key_digest
 from corpusprep.operators.cleaning import clean, cleaning_stats
+from corpusprep.operators.dedup import exact_dedup, known_digests
 from corpusprep.operators.rows import target_value
 from corpusprep.operators.semantic import semantic_dedup
 
@@ -19,7 +20,9 @@ cleaning_stats_stream = cleaning_stats  # a running aggregate: complete output m
 def dedup_stream(
     stream: DataFrame, target: str = "text", event_time: str | None = None, delay: str | None = None
 ) -> DataFrame:
-    """Keep the first row of every key that arrives.
+    """Keep one row of every key that arrives, in a stateful query.
+
+    Which copy of one micro-batch stays is open; ``DedupStream`` keeps the first in row order.
 
     The state is one 32-byte digest per key. Without an event time it grows with the keys;
     with ``event_time`` and ``delay`` keys are forgotten once the watermark has passed them.
@@ -32,42 +35,29 @@ def dedup_stream(
     return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["__digest"]).drop("__digest")
 
 
-class SemanticDedupStream:
-    """Semantic deduplication of a stream, one micro-batch after the other.
+class BatchFolders:
+    """Results of micro-batches below a folder: one sub-folder per table and batch number.
 
-    Each batch is compared with the representatives of all batches before it. Results are
-    written below ``folder`` (kept rows, matches, representatives), in one sub-folder per
-    batch number that is overwritten as a whole: a batch that Spark replays after a failure
-    gives the same result once, not twice. Row numbers must grow from batch to batch.
+    A batch that Spark replays after a failure overwrites its own sub-folders, so it counts
+    once. A stream that starts anew (batch 0 again, as after a lost checkpoint) is refused if
+    the folder holds later batches.
     """
 
-    def __init__(self, folder: str, target: str = "text", order: str = "row_index", category: str = "category", **options):
+    def __init__(self, folder: str):
         self.folder = folder.rstrip("/")
-        self.target = target
-        self.order = order
-        self.category = category
-        self.options = options
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = self._read(spark, "representatives")
-        if known is not None:
-            known = known.filter(F.col("batch") < batch_id).drop("batch")
-        outcome = semantic_dedup(
-            batch, self.target, order=self.order, category=self.category, known=known, **self.options
-        )
-        for name, table in (
-            ("kept", outcome.kept()),
-            ("matches", outcome.matches()),
-            ("representatives", outcome.new_representatives()),
-        ):
-            table.write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch_id}")
+        raise NotImplementedError
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
+    def _write(self, name: str, table: DataFrame, batch_id: int) -> None:
+        table.write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch_id}")
+
     def _read(self, spark: SparkSession, name: str) -> DataFrame | None:
+        """All batches of a table with their number, or nothing before the first one."""
         try:
             return spark.read.parquet(f"{self.folder}/{name}")
         except AnalysisException as error:
@@ -75,11 +65,73 @@ class SemanticDedupStream:
                 return None
             raise
 
+    def _before(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame | None:
+        """The rows of the batches before this one."""
+        table = self._read(spark, name)
+        if table is None:
+            return None
+        last = table.agg(F.max("batch")).first()[0]
+        if last is not None and last > batch_id:
+            raise ValueError(f"{self.folder} holds batch {last}, later than batch {batch_id}: use a new folder")
+        return table.filter(F.col("batch") < batch_id).drop("batch")
+
+    def _result(self, spark: SparkSession, name: str) -> DataFrame:
+        table = self._read(spark, name)
+        if table is None:
+            raise ValueError(f"no batch has been written to {self.folder}")
+        return table.drop("batch")
+
+
+class DedupStream(BatchFolders):
+    """Exact deduplication of a stream that keeps the first row of every key.
+
+    Rows of a micro-batch are decided in the order of ``order``, those of earlier batches come
+    before them. The keys seen are a table of 32-byte digests.
+    """
+
+    def __init__(self, folder: str, target: str = "text", order: str = "row_index"):
+        super().__init__(folder)
+        self.target = target
+        self.order = order
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        known = self._before(batch.sparkSession, "keys", batch_id)
+        kept = exact_dedup(batch, self.target, self.order, known)
+        self._write("kept", kept, batch_id)
+        self._write("keys", known_digests(kept, self.target), batch_id)
+
+    def kept(self, spark: SparkSession) -> DataFrame:
+        return self._result(spark, "kept")
+
+
+class SemanticDedupStream(BatchFolders):
+    """Semantic deduplication of a stream, one micro-batch after the other.
+
+    Each batch is compared with the representatives of all batches before it. Kept rows,
+    matches and representatives are written. Row numbers must grow from batch to batch.
+    """
+
+    def __init__(self, folder: str, target: str = "text", order: str = "row_index", category: str = "category", **options):
+        super().__init__(folder)
+        self.target = target
+        self.order = order
+        self.category = category
+        self.options = options
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        known = self._before(batch.sparkSession, "representatives", batch_id)
+        outcome = semantic_dedup(
+            batch, self.target, order=self.order, category=self.category, known=known, **self.options
+        )
+        self._write("kept", outcome.kept(), batch_id)
+        self._write("matches", outcome.matches(), batch_id)
+        self._write("representatives", outcome.new_representatives(), batch_id)
+
     def kept(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "kept").drop("batch")
+        return self._result(spark, "kept")
 
     def matches(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "matches").drop("batch")
+        return self._result(spark, "matches")
 
     def representatives(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "representatives").drop("batch")
+        return self._result(spark, "representatives")

@@ -94,7 +94,7 @@ def test_kmeans(spark):
     same = matrix @ matrix.T > 0.8
     assert all((labels[i] == labels[j]) == same[i, j] for i in range(80) for j in range(80))
     two = df.limit(2)
-    with pytest.raises(ValueError, match="KMeans 聚类需要至少 3 条非空文本，当前仅有 2 条。"):
+    with pytest.raises(ValueError, match="聚类数 3 大于可用文本数 2"):
         kmeans(two, k=3)
 
 

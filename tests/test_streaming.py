@@ -51,6 +51,18 @@ def test_dedup(spark, rows, tmp_path):
         streams.dedup_stream(stream, event_time="row_index")
 
 
+def test_dedup_keeps_the_first_rows_and_survives_a_replay(spark, rows, tmp_path):
+    stream = parts(spark, rows, str(tmp_path / "in"), [0, 2, 4, 6, 10])
+    sink = streams.DedupStream(str(tmp_path / "out"))
+    sink.start(stream, str(tmp_path / "cp")).awaitTermination()
+    sink.process(rows.filter("row_index >= 6"), 3)  # the last batch once more
+    assert sorted(r.row_index for r in sink.kept(spark).collect()) == [0, 1, 3, 4, 5, 7]
+    with pytest.raises(ValueError):
+        sink.process(rows, 0)
+    with pytest.raises(ValueError):
+        streams.DedupStream(str(tmp_path / "none")).kept(spark)
+
+
 def test_csv_source(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("text\nx\nX\n", encoding="utf8")
