@@ -30,9 +30,10 @@ _READABLE = r"[A-Za-z0-9\x{4E00}-\x{9FFF}]"
 
 # Words and characters that are never keywords.
 STOP_WORDS = (
-    "的 了 呢 吗 啊 呀 和 或 及 与 是 在 把 将 就 都 也 还 要 我 你 他 她 它 我们 你们 他们".split()
+    "的", "了", "呢", "吗", "啊", "呀", "和", "或", "及", "与", "是", "在", "把", "将", "就", "都", "也", "还", "要",
+    "我", "你", "他", "她", "它", "我们", "你们", "他们",
 )
-STOP_CHARS = "的了呢吗啊呀么是在把将就都也还要"
+STOP_CHARS = ("的", "了", "呢", "吗", "啊", "呀", "么", "是", "在", "把", "将", "就", "都", "也", "还", "要")
 
 
 def raw_text(value: Column) -> Column:
@@ -149,7 +150,7 @@ def keyword_tokens(value: Column) -> Column:
         F.regexp_extract_all(
             casefold(cell_text(value)), F.lit(r"[A-Za-z0-9_]+|[\x{4E00}-\x{9FFF}]+"), F.lit(0)
         ),
-        lambda run: ~run.isin(STOP_WORDS),
+        lambda run: ~run.isin(*STOP_WORDS),
     )
 
     def pieces(run: Column) -> Column:
@@ -159,7 +160,7 @@ def keyword_tokens(value: Column) -> Column:
             F.slice(chars, 1, size - 1), F.slice(chars, 2, size), lambda one, next_one: F.concat(one, next_one)
         )
         usable = F.filter(
-            cut, lambda piece: ~piece.isin(STOP_WORDS) & ~piece.rlike(f"[{STOP_CHARS}]")
+            cut, lambda piece: ~piece.isin(*STOP_WORDS) & ~piece.rlike(f"[{''.join(STOP_CHARS)}]")
         )
         none = F.array().cast("array<string>")
         return (
@@ -173,6 +174,7 @@ def keyword_tokens(value: Column) -> Column:
 
 def normalize_label(value: Column) -> Column:
     """Tidy a generated label: first line, no quotes, numbering, "label:" prefix or end marks."""
+    # The quotes, prefix words and end marks that are cut off.
     line = r"\r\n\x0B\x0C\x1C-\x1E\x85\x{2028}\x{2029}"
     quotes = f"[{WS}\"'“”‘’]+"
     text = F.regexp_replace(cell_text(value), f"(?s)[{line}].*$", "")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession):
+    """Delete what ``cut_lineage`` wrote inside the block when it ends.
+
+    Results of the block must be written or collected before its end.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(configuration).delete(place, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table to the shared folder and continue from the written copy.
 
@@ -62,6 +82,8 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     gives the same rows, in the same place, to every action that follows.
     """
     path = f"{shared_folder(df.sparkSession)}/corpusprep/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

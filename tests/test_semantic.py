@@ -145,46 +145,46 @@ def test_chain(spark):
     same_matches(found, matches)
 
 
-def test_fixture_with_category(spark):
+def test_categories_in_the_audit_table(spark):
     df = spark.createDataFrame(
         [
-            (0, "退款怎么申请", "售后", [1.0, 0.0]),
-            (1, "怎么申请退款", "售后-重复", [0.99, 0.01]),
-            (2, "我要开发票", "财务", [0.0, 1.0]),
-            (3, "发票如何申请", None, [0.02, 0.98]),
+            (10, "where is my parcel", "post", [0.0, 2.0]),
+            (11, "card was declined", "bank", [3.0, 0.1]),
+            (12, "parcel, where?", "mail", [0.05, 1.0]),
+            (13, "declined card", None, [1.0, 0.0]),
+            (14, "my parcel please", "post", [-0.02, 1.5]),
         ],
         "row_index bigint, text string, label string, embedding array<float>",
     )
-    outcome = S.semantic_dedup(df, threshold=0.95, category="label")
-    assert sorted(r.row_index for r in outcome.kept().collect()) == [0, 2]
+    outcome = S.semantic_dedup(df, threshold=0.98, category="label")
+    assert sorted(r.row_index for r in outcome.kept().collect()) == [10, 11]
     rows = {r.row_index: r for r in outcome.matches().collect()}
-    assert list(rows[1].asDict()) == [
+    assert list(rows[12].asDict()) == [
         "row_index", "duplicate_of_row_index", "text", "matched_text",
         "label", "matched_label", "same_label", "similarity",
     ]
-    assert rows[1].matched_label == "售后" and rows[1].same_label is False
-    assert rows[3].duplicate_of_row_index == 2 and rows[3].same_label is False
-    assert "category" not in S.semantic_dedup(df, threshold=0.95).matches().columns
+    assert [(k, r.duplicate_of_row_index, r.matched_label, r.same_label) for k, r in sorted(rows.items())] == [
+        (12, 10, "post", False), (13, 11, "bank", False), (14, 10, "post", True),
+    ]
+    assert "category" not in S.semantic_dedup(df, threshold=0.98).matches().columns
 
 
-def test_blanks(spark):
+def test_blank_texts(spark):
     df = spark.createDataFrame(
-        [(0, "", None), (1, " ", None), (2, "有效内容", [1.0, 0.0])],
+        [(3, "words", [0.0, -1.0]), (4, "\t", None), (6, None, None), (9, "", None)],
         "row_index bigint, text string, embedding array<float>",
     )
     outcome = S.semantic_dedup(df)
-    assert sorted(r.row_index for r in outcome.kept().collect()) == [0, 2]
-    (match,) = outcome.matches().collect()
-    assert (match.row_index, match.duplicate_of_row_index, match.similarity) == (1, 0, 1.0)
+    assert sorted(r.row_index for r in outcome.kept().collect()) == [3, 4]
+    assert sorted((r.row_index, r.duplicate_of_row_index, r.similarity) for r in outcome.matches().collect()) == [(6, 4, 1.0), (9, 4, 1.0)]
     assert outcome.stats().first().unique_values == 2
 
 
-def test_no_false_hits(spark):
-    df = spark.createDataFrame(
-        [(0, "a", [1.0, 0.0]), (1, "b", [0.0, 1.0]), (2, "c", [0.7, 0.7]), (3, " ", None), (4, "d", [0.4, 0.9])],
-        "row_index bigint, text string, embedding array<float>",
-    )
-    outcome = S.semantic_dedup(df, threshold=0.95)
+def test_unlike_rows_all_stay(spark):
+    angles = [0.0, 0.5, 1.0, 1.6, 2.4]
+    rows = [(k, f"row {k}", [math.cos(a), math.sin(a)]) for k, a in enumerate(angles)]
+    df = spark.createDataFrame(rows, "row_index bigint, text string, embedding array<float>")
+    outcome = S.semantic_dedup(df, threshold=0.9)
     assert outcome.kept().count() == 5 and outcome.matches().count() == 0
 
 

@@ -131,3 +131,13 @@ def test_run_metadata(spark, tmp_path):
     assert "clustering_stats" not in document
 
 
+
+
+def test_intermediate_tables_go_when_the_block_ends(spark):
+    from corpusprep.operators.rows import cut_lineage, intermediate_tables, shared_folder
+
+    with intermediate_tables(spark):
+        table = cut_lineage(spark.range(5), "gone")
+        assert table.count() == 5
+        (folder,) = [f for f in os.listdir(f"{shared_folder(spark)}/corpusprep") if f.startswith("gone-")]
+    assert not os.path.exists(f"{shared_folder(spark)}/corpusprep/{folder}")

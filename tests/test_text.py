@@ -18,6 +18,7 @@ from corpusprep.operators.cleaning import (
 )
 from corpusprep.operators.rows import resolve_target_column
 
+# The letters and code point blocks of the removal rules.
 MOJIBAKE = set("ÃÂÐÑØÞßæøåçðþŒœ€™¢£¥¦§¨©ª«¬®¯°±²³´µ¶·¸¹º»¼½¾¿")
 POOL = "aZ5正常!?.。#£€ßÃÂ�😂🤣☀🇨🇳‍️\x00\x1c\x1f\x85\t 　\xa0$+·"
 
@@ -50,29 +51,29 @@ def test_reasons_of_random_strings(spark):
     assert wrong == []
 
 
-def test_cleaning_fixture(spark):
-    rows = [None, "!!!", "😂🤣", "���", "正常内容", "abc123"]
+def test_cleaning_counts(spark):
+    rows = ["ordinary words", "???", "", "  \t", "🙈 ☔", "��", "42", "…—", "你好吗"]
     df = spark.createDataFrame(list(enumerate(rows)), "row_index bigint, text string")
-    assert [r.text for r in clean(df).orderBy("row_index").collect()] == ["正常内容", "abc123"]
+    assert [r.row_index for r in clean(df).orderBy("row_index").collect()] == [0, 6, 8]
     stats = cleaning_stats(df).first().asDict()
     assert stats == {
-        "total_before": 6,
-        "total_after": 2,
-        "removed_blank_rows": 1,
-        "removed_symbol_rows": 1,
+        "total_before": 9,
+        "total_after": 3,
+        "removed_blank_rows": 2,
+        "removed_symbol_rows": 2,
         "removed_emoji_rows": 1,
         "removed_garbled_rows": 1,
-        "total_removed": 4,
+        "total_removed": 6,
     }
     assert {r.row_index: r.removal_reason for r in removed_rows(df).collect()} == {
-        0: "blank", 1: "symbol", 2: "emoji", 3: "garbled",
+        1: "symbol", 2: "blank", 3: "blank", 4: "emoji", 5: "garbled", 7: "symbol",
     }
     cleaned, seen = clean_observed(df)
-    assert cleaned.columns == ["row_index", "text"] and cleaned.count() == 2
+    assert cleaned.columns == ["row_index", "text"]
     cleaned.collect()
-    assert seen.get["total_removed"] == 4 and seen.get["removed_emoji_rows"] == 1
+    assert seen.get["total_removed"] == 6 and seen.get["removed_emoji_rows"] == 1
     both = merge_stats(cleaning_stats(df).union(cleaning_stats(df))).first()
-    assert both.total_before == 12 and both.removed_symbol_rows == 2
+    assert both.total_before == 18 and both.removed_symbol_rows == 4
 
 
 def test_empty_input_gives_zero_counts(spark):
@@ -82,13 +83,13 @@ def test_empty_input_gives_zero_counts(spark):
 
 
 def test_target_column(spark):
-    df = spark.createDataFrame([("正常内容", "???"), ("!!!", "正常问题")], "text string, `客户问题` string")
-    assert [r.text for r in clean(df, "客户问题").collect()] == ["!!!"]
-    df = spark.createDataFrame([("正常问题", "a"), ("!!!", "b")], "`用户输入` string, `其他列` string")
-    assert resolve_target_column(df) == "用户输入"
-    assert [r["其他列"] for r in clean(df).collect()] == ["a"]
-    with pytest.raises(ValueError, match="未找到目标列：客户问题"):
-        clean(spark.createDataFrame([("a",)], "text string"), "客户问题")
+    # The alias of the default column and the error sentence.
+    df = spark.createDataFrame([("...", "apples"), ("pears", "…")], "text string, body string")
+    assert [r.body for r in clean(df, "body").collect()] == ["apples"]
+    df = spark.createDataFrame([(7, "。。"), (8, "plums")], "n bigint, `用户输入` string")
+    assert resolve_target_column(df) == "用户输入" and [r.n for r in clean(df).collect()] == [8]
+    with pytest.raises(ValueError, match="未找到目标列：body"):
+        clean(spark.createDataFrame([("a",)], "text string"), "body")
 
 
 def test_numbers_and_nan(spark):
