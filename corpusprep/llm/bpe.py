@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from corpusprep.llm.common import binary_column, id_and_text, list_column, pieces, text_bytes
+from corpusprep.llm.common import id_and_text, list_column, pieces, text_bytes, tidy
 from corpusprep.llm.pretokens import WordCodes, special_tokens
 
 #: Bytes of text whose new pre-tokens are merged together.
@@ -162,7 +162,7 @@ def _every_other(at: np.ndarray, after: np.ndarray) -> np.ndarray:
     return at[(place - begin) % 2 == 0]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _worker(path: str) -> tuple[PairIndex, WordCodes]:
     index = PairIndex(path)
     return index, WordCodes(index.encode_words)
@@ -194,7 +194,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
     schema = "doc_id bigint, ids array<int>" + ", decoded string" * decoded
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(run, lambda: _worker(path)[1].clear()), schema)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

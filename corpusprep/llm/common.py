@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,30 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(run: Run, *forget: Callable[[], object]) -> Run:
+    """``run``, with the worker's memory given back when a partition is done.
+
+    Workers go on to other stages; what the allocators keep, and the caches that ``forget``
+    clears, would stand beside what those need.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for clear in forget:
+                clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return tidied
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the table does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import free_name, pieces, text_bytes
+from corpusprep.llm.common import free_name, pieces, text_bytes, tidy
 from corpusprep.operators.rows import column
 
 #: Labelled text of one language: at most about this many characters, a sample of blocks
@@ -108,17 +108,22 @@ class Parser:
         self.tables, self.bits = [], []
         for _, text in texts:
             moves = suffix_automaton(self.symbol[text].tolist())
-            table = np.full((len(moves), self.alphabet), -1, np.int64)
+            table = np.full((len(moves), self.alphabet), -1, np.int32)
             for state, out in enumerate(moves):
                 if out:
                     table[state, list(out)] = list(out.values())
+            del moves
             # Where no match goes on, the phrase ends and the symbol begins the next one. A
             # symbol that the language lacks is a phrase of its own, after which none is open.
-            restart = np.maximum(table[0], 0)
-            ended = np.where(table >= 0, 0, np.where(table[0] >= 0, 1, 2))
-            ended[0] = table[0] < 0
-            target = np.where(table >= 0, table, restart[None, :]) * self.alphabet
-            self.tables.append((target << 2 | ended).astype(np.int32).ravel())
+            # An entry is the row to go to, times four, plus the phrases that ended.
+            first = table[0].copy()
+            again = np.maximum(first, 0) * self.alphabet << 2 | np.where(first >= 0, 1, 2)
+            stops = table < 0
+            table *= self.alphabet
+            table <<= 2
+            np.copyto(table, again[None, :].astype(np.int32), where=stops)
+            table[0, first < 0] = 1
+            self.tables.append(table.ravel())
             self.bits.append(np.log2(max(len(text), 2)))
 
     def costs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +166,7 @@ class Parser:
         return costs / np.maximum(sizes, 1)[:, None], letters
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(samples)
 
@@ -248,4 +253,4 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], text_col: st
         [docs.schema[c] for c in sent]
         + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits", T.DoubleType())]
     )
-    return docs.select(*[column(c) for c in sent], text).mapInArrow(run, schema)
+    return docs.select(*[column(c) for c in sent], text).mapInArrow(tidy(run), schema)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import id_and_text, local_roots, pieces, text_bytes
+from corpusprep.llm.common import id_and_text, local_roots, pieces, text_bytes, tidy
 from corpusprep.operators.components import components
 from corpusprep.operators.rows import cut_lineage
 
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
             values = np.concatenate(found) if found else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, fp bigint")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id bigint, fp bigint")
 
 
 def _majorities(texts: list[bytes], words: int) -> np.ndarray:
@@ -249,7 +249,7 @@ def near_edges(fps: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
         if held:
             yield from _group_edges(pa.Table.from_batches(held).combine_chunks(), group, radius)
 
-    return placed.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "a bigint, b bigint")
+    return placed.repartition(*group).sortWithinPartitions(*group).mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _changes(table: pa.Table, names: list[str]) -> np.ndarray:
@@ -287,7 +287,9 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_col: st
     """
     marked = cut_lineage(fingerprints(docs, words, id_col, text_col), "fingerprints")
     distinct = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    labels = components(near_edges(distinct.select("fp"), radius, tile))
+    # Written first, so that no task runs two Python steps, and two workers, at once.
+    edges = cut_lineage(near_edges(distinct.select("fp"), radius, tile), "fingerprint-edges")
+    labels = components(edges)
     rooted = distinct.join(labels.select(F.col("id").alias("fp"), "label"), "fp", "left").withColumn("root", F.coalesce("label", "fp"))
     rooted = cut_lineage(rooted.select("fp", "root", "least"), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

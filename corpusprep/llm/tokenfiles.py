@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import binary_column, id_and_text, pieces, scratch, text_bytes
+from corpusprep.llm.common import binary_column, id_and_text, pieces, scratch, text_bytes, tidy
 from corpusprep.llm.pretokens import WordCodes, special_tokens
 
 MAGIC = b"DACTOK01"
@@ -130,7 +130,7 @@ class TokenFile:
         return values
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _encoder(path: str) -> tuple[WordCodes, tuple[bytes, ...]]:
     """Encodes each distinct pre-token with the tokenizers library, once."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -220,7 +220,7 @@ def write_token_files(
     rows = id_and_text(docs, id_col, text_col)
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
-    manifest = ordered.mapInArrow(run, "file string, part int, number int, documents bigint, tokens bigint")
+    manifest = ordered.mapInArrow(tidy(run), "file string, part int, number int, documents bigint, tokens bigint")
     manifest.write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.parquet(f"{folder}/manifest")
 
