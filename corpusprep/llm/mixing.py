@@ -171,8 +171,10 @@ def mix(docs: DataFrame, sources: Column, seed: int = 5, id_col: str = "doc_id",
     schema = "members array<string>, every bigint, extra bigint, source_sizes array<bigint>, targets array<double>"
     plans = spark.createDataFrame(plan, schema)
     cuts = _cuts(rows, plans)
-    # One row per membership pattern on the other side.
-    chosen = rows.join(plans.join(cuts, "members", "left"), "members", "left")
+    # One row per membership pattern on the other side, written, so that the rows of a pattern
+    # that holds most of them can be split.
+    whole_plan = cut_lineage(plans.join(cuts, "members", "left"), "mix-plan")
+    chosen = rows.join(whole_plan, "members", "left")
     times = F.col("every") + F.when(F.col("place") <= F.col("cut"), 1).otherwise(0)
     return chosen.select(
         "doc_id", "members", "place", "size", "source_sizes", "targets",
@@ -188,14 +190,19 @@ def _cuts(rows: DataFrame, plans: DataFrame) -> DataFrame:
     cut falls in, then the places of that one. No window sees more than 4096 rows of a
     pattern but the last, which sees the distinct places in a 2^24th of the order.
     """
-    state = plans.filter("extra > 0").select("members", F.lit(0).cast("bigint").alias("prefix"), F.col("extra").alias("left"))
-    shift = 60
-    for _ in range(2):
-        shift -= BITS
-        within = rows.join(state, "members").filter(F.shiftright("place", shift + BITS) == F.col("prefix"))
-        sums = within.groupBy("members", "left", F.shiftright("place", shift).alias("range")).agg(F.sum("size").alias("words"))
-        state = cut_lineage(_crossing(sums, "range").select("members", F.col("range").alias("prefix"), "left"), "mix-ranges")
-    within = rows.join(state, "members").filter(F.shiftright("place", shift) == F.col("prefix"))
+    # Rows are added up by pattern and range, or meet a pattern by its range, so the rows of a
+    # pattern that holds most of them are spread over many keys.
+    wanted = plans.filter("extra > 0").select("members", F.col("extra").alias("left"))
+    shift = 60 - BITS
+    sums = rows.groupBy("members", F.shiftright("place", shift).alias("range")).agg(F.sum("size").alias("words"))
+    state = _crossing(sums.join(wanted, "members"), "range")
+    state = cut_lineage(state.select("members", F.col("range").alias("prefix"), "left"), "mix-ranges")
+    within = rows.withColumn("prefix", F.shiftright("place", shift)).join(state, ["members", "prefix"])
+    shift -= BITS
+    sums = within.groupBy("members", "left", F.shiftright("place", shift).alias("range")).agg(F.sum("size").alias("words"))
+    state = _crossing(sums, "range")
+    state = cut_lineage(state.select("members", F.col("range").alias("prefix"), "left"), "mix-ranges")
+    within = rows.withColumn("prefix", F.shiftright("place", shift)).join(state, ["members", "prefix"])
     sums = within.groupBy("members", "left", "prefix", "place").agg(F.sum("size").alias("words"))
     last = _crossing(sums, "place")
     # The document at the cut belongs to the part if that comes nearer.
