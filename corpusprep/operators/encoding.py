@@ -23,7 +23,7 @@ def encode(
     encoder: EncoderFactory | str = "char-ngrams",
     batch_size: int = 64,
     name: str = "embedding",
-    dimensions: int = 4096,
+    dimensions: int = 1024,
     model: str | None = None,
 ) -> DataFrame:
     """Add a unit vector for every text.

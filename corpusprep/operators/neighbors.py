@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from corpusprep.operators.rows import column, cut_lineage
 from corpusprep.operators.skew import hot_join
 
-TILE_ROWS = 1 << 14
+TILE_ROWS = 1 << 13
 _STRIP_ROWS = 512
 _SLACK = 1e-6
 
