@@ -33,7 +33,8 @@ from corpusprep.operators.rows import column, cut_lineage
 LIST = 8
 #: Hash tables of the first graph and of each later try; rows a hash bucket should have.
 TABLES, BUCKET = 6, 64
-#: Most rows compared with each other in one group; larger ones are cut into parts by a hash.
+#: Most rows compared with each other in one group; larger ones are cut into tiles, and every two
+#: tiles meet. Balls are looked for within parts of that size: that loses no link.
 GROUP = 1024
 #: Rounds of descent after each set of tables, sets of tables, rows of the audit, recall asked.
 ROUNDS, SETS, AUDIT, RECALL = 3, 4, 256, 0.999
@@ -46,31 +47,55 @@ def _angle(cosine: np.ndarray) -> np.ndarray:
 
 
 def _signs(vectors: np.ndarray, table: int, bits: int) -> np.ndarray:
-    planes = np.random.default_rng(1000 + table).standard_normal((vectors.shape[1], bits))
-    return ((vectors @ planes) > 0) @ (1 << np.arange(bits, dtype=np.int64))
+    planes = np.random.default_rng(1000 + table).standard_normal((bits, vectors.shape[1]))
+    return ((vectors @ planes.T) > 0) @ (1 << np.arange(bits, dtype=np.int64))
 
 
-def hashed(nodes: DataFrame, tables: list[int], bits: int) -> DataFrame:
+def label_bits(classes: DataFrame) -> DataFrame:
+    """``label, bits``: so many bits that a bucket of the label has about ``BUCKET`` classes."""
+    bits = F.round(F.log2(F.count(F.lit(1)) / BUCKET))
+    return cut_lineage(classes.groupBy("label").agg(F.least(F.lit(60), F.greatest(F.lit(1), bits)).cast("int").alias("bits")), "label-bits")
+
+
+def hashed(nodes: DataFrame, tables: list[int], bits: DataFrame) -> DataFrame:
     """``node, label, vec`` with ``table, code``: a row for each hash table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            matrix = matrix_of(batch.column("vec"))
+            if not batch.num_rows:
+                continue
+            matrix, own = matrix_of(batch.column("vec")), batch.column("bits").to_numpy().astype(np.int64)
             for table in tables:
-                codes = _signs(matrix, table, bits) if batch.num_rows else np.zeros(0, np.int64)
+                codes = _signs(matrix, table, int(own.max())) & ((1 << own) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in ("node", "label", "vec")] + [pa.array(np.full(batch.num_rows, table, np.int32)), pa.array(codes)],
                     names=["node", "label", "vec", "table", "code"],
                 )
 
-    return nodes.select("node", "label", "vec").mapInArrow(run, "node bigint, label string, vec array<double>, table int, code bigint")
+    return nodes.select("node", "label", "vec").join(bits, "label").mapInArrow(run, "node bigint, label string, vec array<double>, table int, code bigint")
+
 
+def _parts(rows: DataFrame, keys: list[str], salt: int) -> DataFrame:
+    """Rows with ``part``: groups of more than ``GROUP`` rows are cut into parts of about half.
 
-def _parts(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with ``part``: groups of more than ``GROUP`` rows are cut into parts of about half."""
+    Rows of different parts do not meet: only for what need not be complete.
+    """
     large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP)
     parts = F.coalesce(F.ceil(F.col("n") / (GROUP // 2)), F.lit(1))
-    return rows.join(large, keys, "left").withColumn("part", F.pmod(F.xxhash64("node", F.lit(3)), parts).cast("int")).drop("n")
+    return rows.join(large, keys, "left").withColumn("part", F.pmod(F.xxhash64("node", F.lit(salt)), parts).cast("int")).drop("n")
+
+
+def _met(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with ``mine, low, high``: groups of more than ``GROUP`` rows are cut into tiles of about half.
+
+    A row is in the group of every two tiles ``low, high`` of which one is its own, ``mine``.
+    """
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP)
+    large = large.select(*keys, F.ceil(F.col("n") / (GROUP // 2)).cast("int").alias("tiles"))
+    tiled = rows.join(large, keys, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    tiled = tiled.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(3)), F.col("tiles")).cast("int"))
+    met = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return met.withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other")).drop("tiles", "other")
 
 
 def _grouped(rows: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
@@ -83,7 +108,7 @@ def _grouped(rows: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(each, schema)
 
 
-def balls(classes: DataFrame, half: float, bits: int) -> DataFrame:
+def balls(classes: DataFrame, half: float, bits: DataFrame) -> DataFrame:
     """``node, label, vec, leader, radius``: a leader within ``half`` of each class.
 
     Within a hash bucket leaders are chosen one after the other, in the order of the nodes:
@@ -106,11 +131,11 @@ def balls(classes: DataFrame, half: float, bits: int) -> DataFrame:
             names=["node", "label", "vec", "leader", "angle"],
         )
 
-    keyed = _parts(hashed(classes, [0], bits), ["label", "code"])
+    keyed = _parts(hashed(classes, [0], bits), ["label", "code"], 0)
     return _grouped(keyed, ["label", "code", "part"], cover, "node bigint, label string, vec array<double>, leader bigint, angle double")
 
 
-def _gathered(state: DataFrame, half: float, bits: int, table: int) -> DataFrame:
+def _gathered(state: DataFrame, half: float, bits: DataFrame, table: int) -> DataFrame:
     """A further round: leaders covered by another leader pass on the members that it reaches.
 
     A ball moves as a whole or not at all.
@@ -128,7 +153,7 @@ def _gathered(state: DataFrame, half: float, bits: int, table: int) -> DataFrame
         moved = to != np.arange(len(nodes))
         yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[to[moved]])], names=["old", "new"])
 
-    keyed = _parts(hashed(leaders, [table], bits), ["label", "code"])
+    keyed = _parts(hashed(leaders, [table], bits), ["label", "code"], table)
     moves = _grouped(keyed, ["label", "code", "part"], cover, "old bigint, new bigint")
     wanted = state.join(moves, state["leader"] == moves["old"]).join(
         leaders.select(F.col("node").alias("new"), F.col("vec").alias("new_vec")), "new"
@@ -159,19 +184,21 @@ def _reach(radius: np.ndarray, angle: float) -> np.ndarray:
 def _nearest_of(group: pa.Table, angle: float, old: np.ndarray | None, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of a group worth keeping: each row's nearest, and all within reach.
 
+    In a group of two tiles only rows of different tiles are pairs.
     With ``old`` only pairs with a new row count, and only those nearer than the list of
     either end reaches (column ``far``).
     """
     vectors, radius = matrix_of(group.column("vec")), group.column("radius").to_numpy()
-    cosines = vectors @ vectors.T
-    np.fill_diagonal(cosines, -2.0)
-    near = cosines >= _reach(radius, angle)
-    np.fill_diagonal(near, False)
+    mine = group.column("mine").to_numpy()
+    crossed = group.column("low")[0].as_py() != group.column("high")[0].as_py()
+    met = mine[:, None] != mine[None, :] if crossed else ~np.eye(len(mine), dtype=bool)
+    cosines = np.where(met, vectors @ vectors.T, -2.0)
+    near = met & (cosines >= _reach(radius, angle))
     best = np.zeros(cosines.shape, bool)
     if len(cosines) > 1:
         top = np.argpartition(-cosines, min(keep, len(cosines) - 1) - 1, axis=1)[:, :keep]
         np.put_along_axis(best, top, True, 1)
-        np.fill_diagonal(best, False)
+        best &= met
     if old is not None:
         far = group.column("far").to_numpy()
         best &= cosines > far[:, None]
@@ -196,11 +223,10 @@ def _edges_of(group: pa.Table, angle: float, old: np.ndarray | None) -> Iterator
         )
 
 
-def first_edges(leaders: DataFrame, angle: float, bits: int, tables: list[int]) -> DataFrame:
+def first_edges(leaders: DataFrame, angle: float, bits: DataFrame, tables: list[int]) -> DataFrame:
     """Edges between leaders that share a bucket of a hash table."""
-    keyed = _parts(hashed(leaders, tables, bits), ["table", "label", "code"])
-    with_radius = keyed.join(leaders.select("node", "radius"), "node")
-    return _grouped(with_radius, ["table", "label", "code", "part"], lambda g: _edges_of(g, angle, None), _EDGE)
+    with_radius = hashed(leaders, tables, bits).join(leaders.select("node", "radius"), "node")
+    return _grouped(_met(with_radius, ["table", "label", "code"]), ["table", "label", "code", "low", "high"], lambda g: _edges_of(g, angle, None), _EDGE)
 
 
 def merged_lists(edges: DataFrame) -> DataFrame:
@@ -220,12 +246,12 @@ def descend(leaders: DataFrame, lists: DataFrame, angle: float) -> tuple[DataFra
     )
     members = directed.groupBy("centre", "node").agg(F.min("old").alias("old"))
     live = members.filter(~F.col("old")).select("centre").distinct()
-    placed = _parts(members.join(live, "centre", "left_semi"), ["centre"]).join(nodes, "node")
+    placed = _met(members.join(live, "centre", "left_semi"), ["centre"]).join(nodes, "node")
 
     def meet(group: pa.Table) -> Iterator[pa.RecordBatch]:
         yield from _edges_of(group, angle, group.column("old").to_numpy(zero_copy_only=False))
 
-    found = _grouped(placed, ["centre", "part"], meet, _EDGE)
+    found = _grouped(placed, ["centre", "low", "high"], meet, _EDGE)
     now = lists.withColumn("old", F.lit(True)).unionByName(found.withColumn("old", F.lit(False)))
     result = cut_lineage(merged_lists(now), "neighbour-lists")
     return result, result.filter("link and not old").count()
@@ -344,10 +370,8 @@ def near_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
         ),
         "vector-classes",
     )
-    count = classes.count()
     half, angle = math.acos(cosine) / 2, math.acos(cosine)
-    labels = max(1, classes.select("label").distinct().count())
-    bits = max(1, round(math.log2(max(2, count / labels / BUCKET))))
+    bits = label_bits(classes)
     units = classes.select("node", "label", F.col("unit").alias("vec"))
     state = cut_lineage(balls(units, half, bits), "balls")
     led = state.filter("node = leader").count()

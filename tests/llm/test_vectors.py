@@ -63,6 +63,21 @@ def test_links_equal_all_pairs(spark, monkeypatch, group):
     assert key(got) == key(want)
 
 
+def test_links_in_a_cone(spark, monkeypatch):
+    """All vectors share a large part, so hash buckets are far larger than a group; links are lone pairs."""
+    monkeypatch.setattr(descent, "GROUP", 32)
+    monkeypatch.setattr(descent, "SETS", 1)
+    monkeypatch.setattr(descent, "ROUNDS", 0, raising=False)
+    rng = np.random.default_rng(8)
+    apart = rng.standard_normal((300, 48)) / math.sqrt(48)
+    twins = np.concatenate([apart, apart + 0.5 * rng.standard_normal((300, 48)) / math.sqrt(48)])
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(twins + 2.6 / math.sqrt(48))]
+    got = descent.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = linked(rows)
+    assert 400 < sum(w[1] for w in want) < 6000
+    assert key(got) == key(want)
+
+
 def test_small_tables(spark):
     assert descent.near_vectors(empty(spark, SCHEMA)).count() == 0
     only = descent.near_vectors(spark.createDataFrame([(4, None, None)], SCHEMA)).first()
