@@ -7,8 +7,9 @@
    neighbours of neighbours: everyone who is near one leader is compared with everyone else
    near it. A list holds the ``LIST`` nearest; when it is full of links it grows by all links
    found beyond it.
-3. A bounded sample of leaders is compared with all others. While the graph lacks links that
-   the sample finds, new hashes and rounds are added.
+3. Sampled leaders are compared with all others of their label, until enough links are seen.
+   While the graph lacks links that the sample finds, new hashes and rounds are added; if it
+   still does after the last set of hashes, all leaders of a label are compared.
 4. Edges within reach are settled: two balls are linked as a whole where the angles prove it,
    otherwise their members are compared. Links are counted, components joined.
 """
@@ -36,8 +37,14 @@ TABLES, BUCKET = 6, 64
 #: Most rows compared with each other in one group; larger ones are cut into tiles, and every two
 #: tiles meet. Balls are looked for within parts of that size: that loses no link.
 GROUP = 1024
-#: Rounds of descent after each set of tables, sets of tables, rows of the audit, recall asked.
-ROUNDS, SETS, AUDIT, RECALL = 3, 4, 256, 0.999
+#: Sets of tables before all are compared, leaders of the first audit, recall asked.
+SETS, AUDIT, RECALL = 4, 256, 0.999
+#: Links an audit has to see for each doubling of the number of leaders.
+LINKS = 250
+#: Leaders of one side of a group where all are compared, and rows compared at a time.
+TILE, STEP = 4096, 512
+#: Places of the leaders in the order in which audits draw them.
+PLACES = 1 << 20
 #: Angles are bounds only up to rounding.
 MARGIN = 1e-9
 
@@ -175,10 +182,10 @@ def _dot(a: str, b: str) -> Column:
 # --- the graph -----------------------------------------------------------------------------
 
 
-def _reach(radius: np.ndarray, angle: float) -> np.ndarray:
-    """Cosine from which the balls of two leaders may have a linked pair."""
-    least = np.cos(np.minimum(np.pi, angle + radius[:, None] + radius[None, :] + MARGIN))
-    return np.where((radius[:, None] == 0) & (radius[None, :] == 0), math.cos(angle) - MARGIN, least)
+def _reach(one: np.ndarray, two: np.ndarray, angle: float) -> np.ndarray:
+    """Cosine from which the balls of two leaders may have a linked pair, by their radii."""
+    least = np.cos(np.minimum(np.pi, angle + one[:, None] + two[None, :] + MARGIN))
+    return np.where((one[:, None] == 0) & (two[None, :] == 0), math.cos(angle) - MARGIN, least)
 
 
 def _nearest_of(group: pa.Table, angle: float, old: np.ndarray | None, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,7 +200,7 @@ def _nearest_of(group: pa.Table, angle: float, old: np.ndarray | None, keep: int
     crossed = group.column("low")[0].as_py() != group.column("high")[0].as_py()
     met = mine[:, None] != mine[None, :] if crossed else ~np.eye(len(mine), dtype=bool)
     cosines = np.where(met, vectors @ vectors.T, -2.0)
-    near = met & (cosines >= _reach(radius, angle))
+    near = met & (cosines >= _reach(radius, radius, angle))
     best = np.zeros(cosines.shape, bool)
     if len(cosines) > 1:
         top = np.argpartition(-cosines, min(keep, len(cosines) - 1) - 1, axis=1)[:, :keep]
@@ -257,32 +264,55 @@ def descend(leaders: DataFrame, lists: DataFrame, angle: float) -> tuple[DataFra
     return result, result.filter("link and not old").count()
 
 
-def audit(leaders: DataFrame, lists: DataFrame, angle: float, sample: int = AUDIT) -> float:
-    """Share of the links of a bounded sample of leaders that the lists hold."""
-    drawn = leaders.orderBy(F.xxhash64("node", F.lit(11)), "node").limit(sample).select("node", "label", "vec", "radius").collect()
-    if not drawn:
-        return 1.0
-    names, labels = np.array([r["node"] for r in drawn]), [r["label"] for r in drawn]
-    matrix, radius = np.array([r["vec"] for r in drawn]), np.array([r["radius"] for r in drawn])
+def exact_edges(leaders: DataFrame, angle: float, asked: Column) -> DataFrame:
+    """``a, b, cosine``: all links of the leaders ``asked`` with leaders of their label, tile by tile."""
+    rows = leaders.select("node", "label", "vec", "radius", asked.alias("asked"))
+    sizes = rows.groupBy("label").agg(
+        F.ceil(F.sum(F.col("asked").cast("int")) / TILE).cast("int").alias("ta"), F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tb")
+    )
+    rows = rows.join(sizes.filter("ta > 0"), "label")
+    mine = lambda t: F.pmod(F.xxhash64("node", F.lit(7)), F.col(t)).cast("int")
+    left = rows.filter("asked").withColumn("i", mine("ta")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("tb") - 1)))
+    right = rows.withColumn("j", mine("tb")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ta") - 1)))
+    names = ["label", "i", "j", "node", "vec", "radius"]
+    both = left.select(*names, F.lit(0).alias("side")).unionByName(right.select(*names, F.lit(1).alias("side")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = batch.column("radius").to_numpy()
-            cosines = matrix_of(batch.column("vec")) @ matrix.T
-            single = (own[:, None] == 0) & (radius[None, :] == 0)
-            least = np.where(single, math.cos(angle) - MARGIN, np.cos(np.minimum(np.pi, angle + own[:, None] + radius[None, :] + MARGIN)))
-            same = np.array(batch.column("label").to_pylist(), object)[:, None] == np.array(labels, object)[None, :]
-            nodes = batch.column("node").to_numpy()
-            row, col = np.nonzero((cosines >= least) & same & (nodes[:, None] != names[None, :]))
-            yield pa.RecordBatch.from_arrays([pa.array(names[col]), pa.array(nodes[row])], names=["a", "b"])
-
-    true = cut_lineage(leaders.select("node", "label", "vec", "radius").mapInArrow(run, "a bigint, b bigint"), "audit")
-    total = true.count()
-    held = lists.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def compare(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        side, vectors = group.column("side").to_numpy(), matrix_of(group.column("vec"))
+        nodes, radius = group.column("node").to_numpy(), group.column("radius").to_numpy()
+        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        for start in range(0, len(one), STEP):
+            part = one[start : start + STEP]
+            cosines = vectors[part] @ vectors[two].T
+            row, col = np.nonzero((cosines >= _reach(radius[part], radius[two], angle)) & (nodes[part][:, None] != nodes[two][None, :]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[part][row]), pa.array(nodes[two][col]), pa.array(cosines[row, col])], names=["a", "b", "cosine"]
+            )
+
+    return _grouped(both, ["label", "i", "j"], compare, "a bigint, b bigint, cosine double")
+
+
+def audit(leaders: DataFrame, lists: DataFrame, angle: float, attempt: int) -> tuple[float, DataFrame | None]:
+    """Share of the links of sampled leaders that the lists hold; all links, if all were compared.
+
+    Leaders are drawn until ``LINKS`` links are seen for each doubling of their number. Where that
+    takes more than a quarter of them, all are compared.
+    """
+    rows = max(1, leaders.count())
+    wanted = LINKS * math.ceil(math.log2(rows + 1))
+    place = F.pmod(F.xxhash64("node", F.lit(11 + attempt)), F.lit(PLACES))
+    drawn, last, total, true = 0, math.ceil(PLACES * AUDIT / rows), 0, None
+    while total < wanted and drawn < PLACES:
+        last = last if last <= PLACES // 4 else PLACES
+        more = cut_lineage(exact_edges(leaders, angle, (place >= drawn) & (place < last)), "audit")
+        true = more if true is None else true.unionByName(more)
+        drawn, total = last, true.count()
+        # By the links seen so far, but at most eight times as many.
+        last = math.ceil(last * min(8, max(2, 1.2 * wanted / max(total, 1))))
     asked = true.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return asked.join(held, ["a", "b"], "left_semi").count() / total if total else 1.0
+    held = lists.filter("link").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    share = asked.join(held, ["a", "b"], "left_semi").count() / total if total else 1.0
+    return share, true if drawn == PLACES else None
 
 
 # --- settling ------------------------------------------------------------------------------
@@ -392,12 +422,16 @@ def near_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
         if lists is not None:
             found = lists.withColumn("old", F.lit(True)).unionByName(found)
         lists = cut_lineage(merged_lists(found), "neighbour-lists")
-        for _ in range(ROUNDS):
+        fresh = 1
+        while fresh:
             lists, fresh = descend(leaders, lists, angle)
-            if not fresh:
-                break
-        if audit(leaders, lists, angle) >= recall:
+        share, every = audit(leaders, lists, angle, attempt)
+        if every is not None or share >= recall:
             break
+    else:
+        every = cut_lineage(exact_edges(leaders, angle, F.lit(True)), "all-links")
+    if every is not None:
+        lists = every.withColumn("link", F.lit(True))
     links, edges = settled(leaders, members, lists, cosine)
     joined = components(edges).withColumnRenamed("id", "leader")
     rooted = cut_lineage(leaders.select(F.col("node").alias("leader"), "rows", "first").join(joined, "leader", "left").withColumn("root", F.coalesce("label", "leader")), "roots")

@@ -78,6 +78,20 @@ def test_links_in_a_cone(spark, monkeypatch):
     assert key(got) == key(want)
 
 
+@pytest.mark.parametrize("links", [1, 250])
+def test_links_without_good_hashes(spark, monkeypatch, links):
+    """One hash table and no lists to explore: the audit, or all pairs after it, finds the rest."""
+    for name, value in {"SETS": 1, "TABLES": 1, "LIST": 1, "AUDIT": 60, "BUCKET": 4, "LINKS": links}.items():
+        monkeypatch.setattr(descent, name, value, raising=False)
+    rng = np.random.default_rng(9)
+    first = rng.standard_normal((400, 32))
+    twins = np.concatenate([first, first + 0.35 * rng.standard_normal((400, 32))])
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(twins)]
+    want = linked(rows)
+    assert 300 < sum(w[1] for w in want) < 900
+    assert key(descent.near_vectors(spark.createDataFrame(rows, SCHEMA), recall=1.0).collect()) == key(want)
+
+
 def test_small_tables(spark):
     assert descent.near_vectors(empty(spark, SCHEMA)).count() == 0
     only = descent.near_vectors(spark.createDataFrame([(4, None, None)], SCHEMA)).first()
