@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import archives, bpe, descent, hnsw, langid, licenses, mixing, secrets, simhash, tokenfiles
+from corpusprep.llm import archives, bpe, conversations, descent, fim, hnsw, langid, licenses, mixing, packing, secrets, simhash, tokenfiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The tokenizer of ops 3 and 10, by its name among the public tokenizers.
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+#: The tokenizer of op 11.
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -102,6 +104,26 @@ def op10_bpe(spark, sf):
     )
 
 
+def op11_packing(spark, sf):
+    cut = packing.write_pieces(_table(spark, sf, "documents"), tokenizer_path(WORD_TOKENIZER))
+    digests = cut.select("key", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.packed(digests)
+
+
+def op12_fill_in_middle(spark, sf):
+    made = fim.transform(_table(spark, sf, "documents"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    back = fim.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"), sha(back).alias("restored_sha256")
+    )
+
+
+def op13_conversations(spark, sf):
+    rows = _table(spark, sf, "conversations")
+    return conversations.with_untouched(conversations.repair(conversations.damaged(rows)), rows)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_licenses": op1_licenses,
@@ -114,14 +136,78 @@ def queries() -> dict[str, Query]:
         "op8_archives": op8_archives,
         "op9_secrets": op9_secrets,
         "op10_bpe": op10_bpe,
+        "op11_packing": op11_packing,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_conversations": op13_conversations,
     }
 
 
 _PAYLOADS = "payloads AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages)"
 
 
+_TOKENS = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+_FIM = (
+    "WITH hashed AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h FROM documents), "
+    f"cut AS (SELECT *, regexp_extract_all(text, '{_TOKENS}') AS tokens, "
+    + ", ".join(f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))
+    + " FROM hashed), formed AS (SELECT *, len(tokens) AS n, "
+    "CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' "
+    "WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM cut), "
+    "placed AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM formed), "
+    "parts AS (SELECT *, array_to_string(tokens[1:a], '') AS prefix, array_to_string(tokens[a + 1:b], '') AS middle, "
+    "array_to_string(tokens[b + 1:], '') AS suffix FROM placed) "
+    "SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, "
+    "CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars, sha256(CASE form WHEN 'plain' THEN text "
+    "WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, "
+    "sha256(text) AS restored_sha256 FROM parts"
+)
+
+# Costs by state (0 nothing, 1 after s, 2 after u, 3 after a) go forward row by row, with the
+# letters and lines of the best way to each state.
+_SAME = "IS NOT DISTINCT FROM"
+_CRC32 = (
+    "xor(list_reduce(list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: "
+    "list_reduce([1, 1, 1, 1, 1, 1, 1, 1], lambda r, k: xor(r >> 1, (r & 1) * CAST(3988292384 AS BIGINT)), xor(c, b)), CAST(4294967295 AS BIGINT)), 4294967295)"
+)
+_REPAIR = (
+    "WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, "
+    "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations), "
+    f"marked AS (SELECT *, {_CRC32} % 20 AS kind FROM keyed), "
+    "damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, "
+    "CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text, "
+    "unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM marked WHERE kind <> 0), "
+    "placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos, left(role, 1) AS initial, "
+    "rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed FROM damaged), "
+    "faults AS (SELECT *, CASE WHEN trimmed = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate' "
+    "WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, "
+    "lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM placed), "
+    "counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, "
+    "count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, "
+    "count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id), "
+    "inserted(s, t, c, letters, lines) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''), "
+    "(0, 2, 2, 'I', 'user:' || chr(10)), (1, 2, 2, 'I', 'user:' || chr(10)), (3, 2, 2, 'I', 'user:' || chr(10)), (2, 3, 2, 'I', 'assistant:' || chr(10)), "
+    "(0, 3, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (1, 3, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))), "
+    "done(s, t, letter, c, initial, name) AS (VALUES (0, 0, 'D', 3, NULL, NULL), (1, 1, 'D', 3, NULL, NULL), (2, 2, 'D', 3, NULL, NULL), (3, 3, 'D', 3, NULL, NULL), "
+    "(0, 1, 'K', 0, 's', NULL), (0, 2, 'K', 0, 'u', NULL), (1, 2, 'K', 0, 'u', NULL), (3, 2, 'K', 0, 'u', NULL), (2, 3, 'K', 0, 'a', NULL), "
+    "(0, 2, 'R', 2, NULL, 'user'), (1, 2, 'R', 2, NULL, 'user'), (3, 2, 'R', 2, NULL, 'user'), (2, 3, 'R', 2, NULL, 'assistant')), "
+    "walk AS (SELECT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS state, {'cost': 0, 'audit': '', 'lines': ''} AS best FROM counts UNION ALL "
+    "SELECT w.conv_id, w.pos + 1, d.t, min({'cost': w.best.cost + i.c + d.c + CASE WHEN d.letter <> 'D' AND f.fault = 'truncated' THEN 1 ELSE 0 END, "
+    "'audit': w.best.audit || i.letters || d.letter, 'lines': w.best.lines || i.lines || CASE WHEN d.letter = 'D' THEN '' ELSE coalesce(d.name, f.role) || ':' || f.text || chr(10) END}) "
+    f"FROM walk w JOIN faults f ON w.conv_id {_SAME} f.conv_id AND f.pos = w.pos + 1 JOIN inserted i ON i.s = w.state JOIN done d ON d.s = i.t "
+    "WHERE (d.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate')) AND (d.letter <> 'K' OR d.initial = f.initial) GROUP BY w.conv_id, w.pos, d.t), "
+    "ends AS (SELECT w.conv_id, min({'cost': w.best.cost + i.c, 'audit': w.best.audit || i.letters, 'lines': w.best.lines || i.lines}) AS best "
+    f"FROM walk w JOIN counts n ON w.conv_id {_SAME} n.conv_id AND w.pos = n.n JOIN inserted i ON i.s = w.state AND i.t IN (0, 3) GROUP BY w.conv_id) "
+    "SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, "
+    "coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit, "
+    "sha256(coalesce(left(best.lines, length(best.lines) - 1), '')) AS repaired_sha256 FROM (SELECT DISTINCT conv_id FROM conversations) o "
+    f"LEFT JOIN counts n ON o.conv_id {_SAME} n.conv_id LEFT JOIN ends e ON o.conv_id {_SAME} e.conv_id"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_fill_in_middle": _FIM,
+        "op13_conversations": _REPAIR,
         "op4_near_vectors": (
             "WITH RECURSIVE good AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings "
             "WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 "
