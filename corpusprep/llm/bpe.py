@@ -22,7 +22,7 @@ from corpusprep.llm.common import id_and_text, list_column, pieces, text_bytes,
 from corpusprep.llm.pretokens import WordCodes, special_tokens
 
 #: Bytes of text whose new pre-tokens are merged together.
-PIECE = 6 << 20
+PIECE = 3 << 20
 
 
 def byte_letters() -> list[str]:

@@ -8,11 +8,13 @@ phrases. The language with the smallest cost wins; ties go to the smaller label.
 
 Characters are folded to lower case; every run of characters that are not letters is one blank.
 A text is parsed in blocks of ``BLOCK`` characters, whole texts always, so that array
-operations walk many blocks at once through the transition tables.
+operations walk many blocks at once through the transition tables. A block's end ends a phrase,
+so a count is at most one phrase a block above that of the text in one piece.
 """
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,10 +34,10 @@ SAMPLE_CHARS = 40_000
 SAMPLE_BLOCK = 200
 #: Characters of a block that is parsed on its own.
 BLOCK = 1024
-#: Letters with a column of their own in the tables, and columns for all others.
-OWN_SYMBOLS, SHARED_SYMBOLS = 120, 16
 #: Bytes of text parsed at a time.
 PIECE = 4 << 20
+#: Draws for a row's place in a table.
+TRIES = 1000
 UNDETERMINED = "und"
 
 
@@ -90,42 +92,72 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+def compact(moves: list[dict[int, int]], alphabet: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Transitions in two flat arrays: rows of few entries laid over one another.
+
+    A state is the place where its row begins; no two begin at one place. Its transition by
+    symbol ``x`` stands at ``state + x`` if ``owner`` there names the state, and leads to
+    ``target``; else it has none. The third array gives each automaton state's place.
+    """
+    # Large rows first, each where a seeded draw finds room: three of four entries stay free.
+    room = 4 * sum(map(len, moves)) + 1
+    taken, begun = bytearray(room + alphabet), bytearray(room)
+    place = np.zeros(len(moves), np.int64)
+    draw = random.Random(1).random
+    for state in sorted(range(len(moves)), key=lambda s: (-len(moves[s]), s)):
+        symbols, tries = list(moves[state]), 0
+        begin = int(draw() * room)
+        while begun[begin] or any(taken[begin + x] for x in symbols):
+            tries += 1
+            if tries == TRIES:  # a place of its own behind all others
+                begin = len(taken)
+                taken.extend(bytes(alphabet))
+                begun.extend(bytes(len(taken) - len(begun)))
+                break
+            begin = int(draw() * room)
+        begun[begin] = 1
+        place[state] = begin
+        for x in symbols:
+            taken[begin + x] = 1
+    last = len(taken)
+    owner, target = np.full(last, -1, np.int32), np.zeros(last, np.int32)
+    for state, out in enumerate(moves):
+        for x, to in out.items():
+            owner[place[state] + x], target[place[state] + x] = place[state], place[to]
+    return owner, target, place
+
+
 class Parser:
-    """The automata of all languages as tables that count phrases while they walk."""
+    """The automata of all languages as flat tables that count phrases while they walk.
+
+    Every letter of the samples is a symbol of its own; a letter that no sample has is a phrase
+    of its own in every language. The tables take some 100 bytes for each sampled character.
+    """
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
         texts = [(lang, fold(text)) for lang, text in samples]
         self.langs = [lang for lang, _ in texts]
-        letters, counts = np.unique(np.concatenate([t for _, t in texts]), return_counts=True)
-        letters = np.sort(letters[np.argsort(-counts, kind="stable")][:OWN_SYMBOLS])
-        letters = letters[letters > 0]
-        # Column 0 is the blank; rarer letters share the last columns by their code points,
-        # which bounds the tables for languages with thousands of letters.
-        self.alphabet = 1 + len(letters) + SHARED_SYMBOLS
-        self.symbol = (1 + len(letters) + np.arange(0x110000) % SHARED_SYMBOLS).astype(np.uint16)
-        self.symbol[0] = 0
-        self.symbol[letters] = 1 + np.arange(len(letters))
-        self.tables, self.bits = [], []
+        self.letters = np.unique(np.concatenate([np.zeros(1, np.int32), *[t for _, t in texts]]))
+        # Symbol 0 is the blank, the last one stands for letters unknown to all.
+        self.alphabet = len(self.letters) + 1
+        self.owners, self.targets, self.roots, self.absent, self.bits = [], [], [], [], []
         for _, text in texts:
-            moves = suffix_automaton(self.symbol[text].tolist())
-            table = np.full((len(moves), self.alphabet), -1, np.int32)
-            for state, out in enumerate(moves):
-                if out:
-                    table[state, list(out)] = list(out.values())
-            del moves
-            # Where no match goes on, the phrase ends and the symbol begins the next one. A
-            # symbol that the language lacks is a phrase of its own, after which none is open.
-            # An entry is the row to go to, times four, plus the phrases that ended.
-            first = table[0].copy()
-            again = np.maximum(first, 0) * self.alphabet << 2 | np.where(first >= 0, 1, 2)
-            stops = table < 0
-            table *= self.alphabet
-            table <<= 2
-            np.copyto(table, again[None, :].astype(np.int32), where=stops)
-            table[0, first < 0] = 1
-            self.tables.append(table.ravel())
+            moves = suffix_automaton(np.searchsorted(self.letters, text).tolist())
+            owner, target, place = compact(moves, self.alphabet)
+            starts = np.full(self.alphabet, place[0], np.int32)
+            absent = np.ones(self.alphabet, np.int32)
+            for x, to in moves[0].items():
+                starts[x], absent[x] = place[to], 0
+            self.owners.append(owner)
+            self.targets.append(target)
+            self.roots.append((int(place[0]), starts))
+            self.absent.append(absent)
             self.bits.append(np.log2(max(len(text), 2)))
 
+    def symbols(self, folded: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.letters, folded), len(self.letters) - 1)
+        return np.where(self.letters[at] == folded, at, self.alphabet - 1).astype(np.int32)
+
     def costs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cost of each text (row) in each language, and its number of letters."""
         documents = len(offsets) - 1
@@ -137,7 +169,7 @@ class Parser:
         letters += np.bincount(owner[folded != 0], minlength=documents)
         same = np.zeros(len(folded), bool)
         same[1:] = (folded[1:] == 0) & (folded[:-1] == 0) & (owner[1:] == owner[:-1])
-        symbols, owner = self.symbol[folded[~same]], owner[~same]
+        symbols, owner = self.symbols(folded[~same]), owner[~same]
         sizes = np.bincount(owner, minlength=documents)
         begins = np.cumsum(sizes) - sizes
         # Blocks, longest first, so that those still under way stand in front.
@@ -152,25 +184,26 @@ class Parser:
             return costs, letters
         going = np.searchsorted(-length, -np.arange(length[0]), "left")
         count = np.zeros((len(self.langs), len(of)), np.int32)
-        state = [np.zeros(len(of), np.int32) for _ in self.langs]
+        state = [np.full(len(of), root, np.int32) for root, _ in self.roots]
         for step in range(int(length[0])):
             active = int(going[step])
-            symbol = symbols[first[:active] + step].astype(np.int32)
-            for k, table in enumerate(self.tables):
-                move = table[state[k][:active] + symbol]
-                count[k, :active] += move & 3
-                state[k][:active] = move >> 2
+            symbol = symbols[first[:active] + step]
+            for k, (owner, target) in enumerate(zip(self.owners, self.targets)):
+                root, starts = self.roots[k]
+                now = state[k][:active]
+                entry = now + symbol
+                goes_on = owner[entry] == now
+                # Where no match goes on, an open phrase ends and the symbol begins the next one;
+                # a symbol that the language lacks is a phrase of its own, after which none is open.
+                ended = (now != root).astype(np.int32) + self.absent[k][symbol]
+                count[k, :active] += np.where(goes_on, 0, ended)
+                state[k][:active] = np.where(goes_on, target[entry], starts[symbol])
         for k, bits in enumerate(self.bits):
             # The phrase that the end of a block cuts off counts as well.
-            costs[:, k] = np.bincount(of, count[k] + (state[k] > 0), minlength=documents) * bits
+            costs[:, k] = np.bincount(of, count[k] + (state[k] != self.roots[k][0]), minlength=documents) * bits
         return costs / np.maximum(sizes, 1)[:, None], letters
 
 
-@lru_cache(maxsize=1)
-def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
-    return Parser(samples)
-
-
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         sample_chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:
     """Labelled text per language: blocks of ``SAMPLE_BLOCK`` characters drawn from all texts.
@@ -221,15 +254,17 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], text_col: st
     ``bits`` is the cost per character in the language found, ``score`` how much smaller it is
     than the next one's (``1 - best / second``; 1 with a single language). Texts that are null
     or have no letter are ``und`` with score 0 and null bits; so are all texts if there are no
-    samples. Columns that have one of these names are replaced. Nothing is shuffled.
+    samples. Columns that have one of these names are replaced. Nothing is shuffled. The tables
+    are made once, by the driver, from the samples of bounded size, and sent to the workers,
+    which keep nothing of them.
     """
+    parser = Parser(samples) if samples else None
     added = ["lang_pred", "score", "bits"]
     names = [c for c in docs.columns if c.lower() not in added]
     sent = [c for c in names if not (drop_text and c == text_col)]
     whole = free_name(docs, "whole_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = _parser(samples) if samples else None
         for batch in batches:
             data, offsets = text_bytes(batch.column(whole))
             for low, high in pieces(offsets, PIECE):

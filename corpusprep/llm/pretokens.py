@@ -154,8 +154,17 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return hashes
 
 
+def _windows(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place of ``data`` on, as one number; the last 8 bytes are padding."""
+    return np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), 0, (1,))
+
+
 class WordCodes:
-    """Token ids of distinct words. ``encode(words)`` gives lengths and ids of new ones."""
+    """Token ids of distinct words. ``encode(words)`` gives lengths and ids of new ones.
+
+    Words are found by their hash, and each is compared with the stored word byte by byte: words
+    that share a hash get slots of their own.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], remembered: int = REMEMBERED):
         self.encode, self.remembered = encode, remembered
@@ -164,10 +173,42 @@ class WordCodes:
     def clear(self) -> None:
         self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.starts, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        # The words themselves, and slots of those whose hash another word has.
+        self.raw, self.raw_starts, self.raw_lengths = np.zeros(8, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.collided: dict[bytes, int] = {}
+
+    def _add(self, words: list[bytes]) -> np.ndarray:
+        """Encode new words; their slots."""
+        lengths, flat = self.encode(words)
+        slots = len(self.lengths) + np.arange(len(words))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int64)])
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        sizes = np.array([len(w) for w in words], np.int64)
+        self.raw_starts = np.concatenate([self.raw_starts, len(self.raw) - 8 + np.cumsum(sizes) - sizes])
+        self.raw_lengths = np.concatenate([self.raw_lengths, sizes])
+        self.raw = np.concatenate([self.raw[:-8], np.frombuffer(b"".join(words), np.uint8), np.zeros(8, np.uint8)])
+        return slots
+
+    def _equal(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Whether each word is the one in its slot, byte by byte."""
+        equal = lengths == self.raw_lengths[slots]
+        mine, stored, at = _windows(np.concatenate([data, np.zeros(8, np.uint8)])), _windows(self.raw), self.raw_starts[slots]
+        rows, done = np.flatnonzero(equal & (lengths <= LONG_WORD)), 0
+        while len(rows):
+            left = lengths[rows] - done
+            apart = mine[starts[rows] + done] ^ stored[at[rows] + done]
+            unused = (8 * (8 - np.minimum(left, 8))).astype(np.uint64)
+            equal[rows] = apart << unused == 0
+            rows, done = rows[(left > 8) & equal[rows]], done + 8
+        for k in np.flatnonzero(equal & (lengths > LONG_WORD)).tolist():
+            word = data[starts[k] : starts[k] + lengths[k]]
+            equal[k] = np.array_equal(word, self.raw[at[k] : at[k] + lengths[k]])
+        return equal
 
     def look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The slot of each word; words not seen before are encoded."""
-        if len(self.keys) > self.remembered:
+        if len(self.lengths) > self.remembered:
             self.clear()
         codes, keys = pd.factorize(word_hashes(data, starts, ends))
         first = np.zeros(len(keys), np.int64)
@@ -178,19 +219,22 @@ class WordCodes:
         slots = np.zeros(len(keys), np.int64)
         slots[known] = self.slots[at[known]]
         new = np.flatnonzero(~known)
+        raw = memoryview(data)
         if len(new):
-            raw = memoryview(data)
-            words = [bytes(raw[a:b]) for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
-            lengths, flat = self.encode(words)
-            slots[new] = len(self.lengths) + np.arange(len(new))
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths.astype(np.int64)])
-            self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+            slots[new] = self._add([bytes(raw[a:b]) for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
             order = np.argsort(keys[new])
             spot = np.searchsorted(self.keys, keys[new][order])
             self.keys = np.insert(self.keys, spot, keys[new][order])
             self.slots = np.insert(self.slots, spot, slots[new][order])
-        return slots[codes]
+        found = slots[codes]
+        other = np.flatnonzero(~self._equal(data, starts, ends - starts, found))
+        if len(other):
+            words = [bytes(raw[a:b]) for a, b in zip(starts[other].tolist(), ends[other].tolist())]
+            unseen = list(dict.fromkeys(w for w in words if w not in self.collided))
+            if unseen:
+                self.collided.update(zip(unseen, self._add(unseen).tolist()))
+            found[other] = [self.collided[w] for w in words]
+        return found
 
     def ids(self, slots: np.ndarray) -> np.ndarray:
         """The ids of the words in these slots, one after the other."""

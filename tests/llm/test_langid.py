@@ -39,6 +39,21 @@ def test_phrases_equal_a_plain_search():
             assert abs(costs[k, j] - count * bits / max(size, 1)) < 1e-9
 
 
+def test_letters_are_never_put_together():
+    """Thousands of letters, and languages that differ in rare ones only."""
+    import numpy as np
+
+    rng = random.Random(5)
+    pools = [[chr(0x4E00 + k) for k in range(low, 4000, 2)] for low in (0, 1)]
+    samples = tuple((lang, "".join(rng.choice(pool) for _ in range(8000))) for lang, pool in zip("ab", pools))
+    parser = langid.Parser(samples)
+    assert parser.alphabet > 3900
+    texts = [samples[k % 2][1][100 * k : 100 * k + 40] for k in range(60)]
+    raw = [t.encode() for t in texts]
+    costs, _ = parser.costs(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
+    assert costs.argmin(axis=1).tolist() == [k % 2 for k in range(60)]
+
+
 def test_held_out_accuracy(spark):
     found = queries.op2_language_id(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id"

@@ -45,6 +45,42 @@ def test_worker_cache_may_start_anew():
         assert ids.tolist() == library([text])[0][0] and counts.tolist() == [len(ids)]
 
 
+def test_words_with_one_hash_keep_their_ids():
+    """A polynomial hash modulo 2^64 gives one key to words built for that; their ids differ."""
+    text = "acfaedaaafaahaaa\ngaaiaajdcadeaecb"
+    data = np.frombuffer(text.encode(), np.uint8)
+    keys = pretokens.word_hashes(data, np.array([0, 17]), np.array([16, 33]))
+    assert keys[0] == keys[1]
+    # Thue-Morse words and their opposites collide for any multiplier; so do words made of them.
+    a, b = "a", "b"
+    while len(a) < 2048:
+        a, b = a + b, b + a
+    rng = random.Random(11)
+    texts = [text, a, b, a + " " + b, text + " gaaiaajdcadeaecb acfaedaaafaahaaa"]
+    pair = text.split("\n")
+    texts += [" ".join("".join(rng.choice(pair) for _ in range(rng.randint(1, 3))) for _ in range(20)) for _ in range(500)]
+    want, _ = library(texts)
+    index = bpe.PairIndex(queries.tokenizer_path())
+    for words in (pretokens.WordCodes(index.encode_words), tokenfiles._encoder(queries.tokenizer_path())[0]):
+        for low in range(0, len(texts), 100):
+            part = [t.encode() for t in texts[low : low + 100]]
+            flat, counts = words.texts(np.frombuffer(b"".join(part), np.uint8), np.cumsum([0] + [len(t) for t in part]), ())
+            assert [p.tolist() for p in np.split(flat, np.cumsum(counts)[:-1])] == want[low : low + 100]
+        assert words.collided
+
+
+def test_every_hash_may_collide(monkeypatch):
+    """With one hash for all words the bytes alone decide."""
+    monkeypatch.setattr(pretokens, "word_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    rng = random.Random(12)
+    texts = [" ".join("".join(rng.choice("abé") for _ in range(rng.randint(1, 90))) for _ in range(30)) for _ in range(60)]
+    want, _ = library(texts)
+    words = pretokens.WordCodes(bpe.PairIndex(queries.tokenizer_path()).encode_words)
+    raw = [t.encode() for t in texts]
+    flat, counts = words.texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(t) for t in raw]), ())
+    assert [p.tolist() for p in np.split(flat, np.cumsum(counts)[:-1])] == want
+
+
 def test_files_hold_any_ids():
     rng = np.random.default_rng(2)
     for size in (0, 1, 7, 511, 512, 513, 5000):
