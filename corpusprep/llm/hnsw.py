@@ -15,19 +15,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import scratch
+from corpusprep.llm.common import matrix_of
 from corpusprep.operators.rows import column, cut_lineage
 
-SHARD_ROWS = 4096
+#: Vectors of a shard: about 35 MB with 64 components and the links.
+SHARD_ROWS = 32768
 #: Links of a node in the upper layers; the lowest has twice as many.
 WIDTH = 16
 #: Candidates kept while building and while searching.
 BUILD_BEAM, SEARCH_BEAM = 64, 160
-#: Nodes added at a time, nodes expanded at a time, queries of a block.
-BATCH, EXPAND, QUERY_BLOCK = 256, 4, 512
+#: Candidates kept in the upper layers, and those from which the next layer is entered.
+UPPER_BEAM, ENTRIES = 24, 8
+#: Nodes added at a time, nodes expanded at a time, queries walked at a time.
+BATCH, EXPAND, QUERY_BLOCK = 256, 4, 256
+#: Powers of two of the largest component that go to shards of their own.
+BAND = 256
 
 
 def valid_vectors(df: DataFrame, id_col: str, vec_col: str, *more: str) -> DataFrame:
@@ -59,13 +65,29 @@ def _levels(keys: np.ndarray) -> np.ndarray:
     return np.floor(-np.log(unit) / np.log(WIDTH)).astype(np.int64)
 
 
+def _squares(difference: np.ndarray) -> np.ndarray:
+    """Squared lengths, in double precision; what overflows is as far as can be."""
+    with np.errstate(over="ignore"):
+        return np.minimum(np.einsum("...d,...d->...", difference, difference), np.finfo(np.float64).max)
+
+
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows to one vector; they neither overflow nor underflow on the way."""
+    with np.errstate(over="ignore"):
+        difference = np.abs(vectors - query)
+        largest = difference.max(axis=-1, keepdims=True)
+        safe = np.where((largest > 0) & np.isfinite(largest), largest, 1.0)
+        plain = np.sqrt((difference**2).sum(axis=-1))
+        scaled = safe[..., 0] * np.sqrt(((difference / safe) ** 2).sum(axis=-1))
+    usual = (largest[..., 0] < 1e150) & ((largest[..., 0] > 1e-150) | (largest[..., 0] == 0))
+    return np.where(usual, plain, scaled)
+
+
 class Index:
     """Vectors, layers and flat neighbour arrays (-1 where a node has fewer)."""
 
     def __init__(self, vectors: np.ndarray, links: list[np.ndarray], entry: int):
         self.vectors, self.links, self.entry = vectors, links, entry
-        self.walked = vectors.astype(np.float32)
-        self.squares = np.einsum("ij,ij->i", self.walked, self.walked)
 
     @classmethod
     def build(cls, vectors: np.ndarray, keys: np.ndarray) -> Index:
@@ -88,7 +110,7 @@ class Index:
             np.fill_diagonal(own, np.inf)
             ids, near = np.broadcast_to(batch, (size, size)), own
             if done:
-                found, far = self._beam(self.walked[batch], self._descend(self.walked[batch], layer), layer, BUILD_BEAM)
+                found, far = self._beam(self.vectors[batch], self._descend(self.vectors[batch], layer), layer, BUILD_BEAM)
                 ids, near = np.concatenate([found, ids], axis=1), np.concatenate([far, near], axis=1)
             chosen = self._choose(ids, near, min(WIDTH, width))
             links[batch, : chosen.shape[1]] = chosen
@@ -96,8 +118,7 @@ class Index:
             done += size
 
     def _pairs(self, nodes: np.ndarray) -> np.ndarray:
-        v = self.walked[nodes]
-        return np.maximum(self.squares[nodes][:, None] + self.squares[nodes][None] - 2 * v @ v.T, 0)
+        return np.stack([_squares(self.vectors[nodes] - self.vectors[node]) for node in nodes])
 
     def _choose(self, ids: np.ndarray, near: np.ndarray, width: int) -> np.ndarray:
         """Of each row's candidates up to ``width``, none closer to a chosen one than to the row."""
@@ -107,8 +128,10 @@ class Index:
         ids, near = np.take_along_axis(ids, order, 1), np.take_along_axis(near, order, 1)
         real = np.isfinite(near) & (ids >= 0)
         safe = np.where(real, ids, 0)
-        v = self.walked[safe]
-        between = self.squares[safe][:, :, None] + self.squares[safe][:, None, :] - 2 * v @ v.transpose(0, 2, 1)
+        # From each row's nearest candidate as origin, so that nothing is lost far from 0.
+        v = self.vectors[safe] - self.vectors[safe[:, :1]]
+        squares = _squares(v)
+        between = np.maximum(squares[:, :, None] + squares[:, None, :] - 2 * v @ v.transpose(0, 2, 1), 0)
         chosen = np.full((len(ids), width), -1, np.int64)
         count = np.zeros(len(ids), np.int64)
         kept = np.zeros(ids.shape, bool)
@@ -149,29 +172,31 @@ class Index:
             ids = both[part]
             safe = np.maximum(ids, 0)
             centre = targets[part]
-            near = self.squares[safe] + self.squares[centre][:, None] - 2 * np.einsum("bkd,bd->bk", self.walked[safe], self.walked[centre])
-            links[centre] = self._choose(ids, np.where(ids >= 0, np.maximum(near, 0), np.inf), links.shape[1])
+            near = _squares(self.vectors[safe] - self.vectors[centre][:, None])
+            links[centre] = self._choose(ids, np.where(ids >= 0, near, np.inf), links.shape[1])
 
     def _descend(self, queries: np.ndarray, layer: int) -> np.ndarray:
-        """The node of the layer above that a greedy walk from the top reaches."""
-        at = np.full(len(queries), self.entry)
+        """The nodes of the layer above that a walk from the top reaches, nearest first."""
+        at = np.full((len(queries), 1), self.entry)
         for above in range(len(self.links) - 1, layer, -1):
-            found, _ = self._beam(queries, at, above, 4)
-            at = found[:, 0]
+            found, _ = self._beam(queries, at, above, UPPER_BEAM)
+            at = found[:, :ENTRIES]
         return at
 
-    def _beam(self, queries: np.ndarray, entry: np.ndarray, layer: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    def _beam(self, queries: np.ndarray, entries: np.ndarray, layer: int, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Nearest nodes of a layer found for each query, nearest first (-1, inf where fewer)."""
         links, count = self.links[layer], len(queries)
-        own = np.einsum("ij,ij->i", queries, queries)
         ids = np.full((count, width), -1, np.int64)
-        near = np.full((count, width), np.inf, np.float32)
+        near = np.full((count, width), np.inf)
         opened = np.zeros((count, width), bool)
         seen = np.zeros((count, len(self.vectors)), bool)
         rows = np.arange(count)
-        ids[:, 0] = entry
-        near[:, 0] = np.maximum(self.squares[entry] + own - 2 * np.einsum("ij,ij->i", self.walked[entry], queries), 0)
-        seen[rows, entry] = True
+        begun = min(width, entries.shape[1])
+        ids[:, :begun] = entries[:, :begun]
+        real = ids[:, :begun] >= 0
+        near[:, :begun] = np.where(real, _squares(self.vectors[np.maximum(ids[:, :begun], 0)] - queries[:, None]), np.inf)
+        r, c = np.nonzero(real)
+        seen[r, ids[r, c]] = True
         active = rows
         while len(active):
             closed = np.where(opened[active], np.inf, near[active])
@@ -191,10 +216,9 @@ class Index:
             twice = np.zeros(reached.shape, bool)
             np.put_along_axis(twice, order[:, 1:], ranked[:, 1:] == ranked[:, :-1], 1)
             fresh &= ~twice
-            safe = np.where(fresh, reached, 0)
-            far = self.squares[safe] + own[active][:, None] - 2 * np.einsum("bkd,bd->bk", self.walked[safe], queries[active])
-            far = np.where(fresh, np.maximum(far, 0), np.inf).astype(np.float32)
             r, c = np.nonzero(fresh)
+            far = np.full(fresh.shape, np.inf)
+            far[r, c] = _squares(self.vectors[reached[r, c]] - queries[active[r]])
             seen[active[r], reached[r, c]] = True
             all_ids = np.concatenate([ids[active], np.where(fresh, reached, -1)], axis=1)
             all_near = np.concatenate([near[active], far], axis=1)
@@ -205,14 +229,9 @@ class Index:
             opened[active] = np.take_along_axis(all_open, best, 1)
         return ids, near
 
-    def search(self, queries: np.ndarray, k: int, beam: int = SEARCH_BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """Nodes and exact Euclidean distances of the ``k`` nearest found, nearest first."""
-        walked = queries.astype(np.float32)
-        found, _ = self._beam(walked, self._descend(walked, 0), 0, max(beam, k))
-        exact = np.sqrt(((self.vectors[np.maximum(found, 0)] - queries[:, None, :]) ** 2).sum(axis=2))
-        exact[found < 0] = np.inf
-        order = np.argsort(exact, axis=1, kind="stable")[:, :k]
-        return np.take_along_axis(found, order, 1), np.take_along_axis(exact, order, 1)
+    def search(self, queries: np.ndarray, k: int, beam: int = SEARCH_BEAM) -> np.ndarray:
+        """The ``k`` nearest nodes found, nearest first; -1 where there are fewer."""
+        return self._beam(queries, self._descend(queries, 0), 0, max(beam, k))[0][:, :k]
 
     def dump(self) -> bytes:
         out = io.BytesIO()
@@ -229,57 +248,88 @@ class Index:
 
 
 def build_shards(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``shard, size, ids, index``: an index of each shard of the distinct vectors in ``id, vec``.
+    """``shard, band, ids, vectors, index``: an index of each shard of the distinct vectors in ``id, vec``.
 
     ``ids`` holds, for each node, the smallest ``k + 1`` ids of the rows with its vector: enough
-    for any answer of ``k``, however many copies there are. Every row is indexed.
+    for any answer of ``k``, however many copies there are. Every row is indexed. Vectors whose
+    largest components are more than 2^128 apart go to different shards, walked in a scale of
+    their own, so that squares neither overflow nor vanish.
     """
     by = Window.partitionBy("vec").orderBy("id")
     firsts = vectors.withColumn("copy", F.row_number().over(by)).filter(F.col("copy") <= k + 1)
-    distinct = cut_lineage(firsts.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")), "distinct-vectors")
-    shards = max(1, -(-distinct.count() // shard_rows))
-    placed = distinct.withColumn("shard", F.pmod(F.xxhash64("vec"), F.lit(shards)).cast("int"))
+    largest = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    distinct = firsts.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    distinct = cut_lineage(distinct.withColumn("band", F.round(F.log2(largest) / BAND).cast("int")), "distinct-vectors")
+    # One row per band, of which doubles have nine.
+    first, starts = 0, []
+    for band, count in sorted(distinct.groupBy("band").count().collect()):
+        starts.append((band, first, max(1, -(-count // shard_rows))))
+        first += starts[-1][2]
+    bands = distinct.sparkSession.createDataFrame(starts, "band int, first int, parts int")
+    place = F.col("first") + F.pmod(F.xxhash64("vec"), F.col("parts")).cast("int")
+    placed = distinct.join(F.broadcast(bands), "band").withColumn("shard", place)
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("ids", key=lambda s: s.map(lambda x: x[0]), kind="stable")
-        matrix = np.stack(group["vec"].to_numpy()).astype(np.float64)
+        band = int(group["band"].iloc[0])
+        matrix = np.ldexp(np.stack(group["vec"].to_numpy()).astype(np.float64), -BAND * band)
         index = Index.build(matrix, np.array([x[0] for x in group["ids"]], np.int64))
-        row = {"shard": int(group["shard"].iloc[0]), "size": len(group), "ids": list(group["ids"]), "index": index.dump()}
+        row = {"shard": int(group["shard"].iloc[0]), "band": band, "ids": list(group["ids"]), "index": index.dump()}
         return pd.DataFrame([row])
 
-    built = placed.groupBy("shard").applyInPandas(build, "shard int, size int, ids array<array<bigint>>, index binary")
+    # As many tasks as shards, each dealt its own.
+    dealt = placed.repartitionById(max(1, first), F.col("shard"))
+    built = dealt.groupBy("shard").applyInPandas(build, "shard int, band int, ids array<array<bigint>>, index binary")
     return cut_lineage(built, "shards")
 
 
-def search(shards: DataFrame, queries: DataFrame, k: int = 10, beam: int = SEARCH_BEAM, query_block: int = QUERY_BLOCK) -> DataFrame:
+def search(shards: DataFrame, queries: DataFrame, k: int = 10, beam: int = SEARCH_BEAM) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found for each of ``id, vec``.
 
     Euclidean distances in double precision on the vectors as given; ties go to the smaller
-    id; a row is no answer to itself. Queries meet the shards in blocks, so that no task holds
-    more than a block of them and a shard. Without shards or queries there are no rows.
+    id; a row is no answer to itself. Queries are sent to the shards, where one block of them
+    is walked at a time; an index is sent once to each of the few tasks that share its shard,
+    whose number follows the cores, not the queries. Without shards or queries there are no rows.
     """
-    asked = cut_lineage(queries.select("id", "vec"), "queries")
-    blocks = max(1, -(-asked.count() // query_block))
-    last = shards.agg(F.max("shard").alias("last")).first()["last"]
-    blocked = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)).cast("int"))
-    met = blocked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(last or 0))))
-    indexes = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        index, members = Index.load(right["index"].iloc[0]), right["ids"].iloc[0]
-        names = left["id"].to_numpy()
-        found, exact = index.search(np.stack(left["vec"].to_numpy()).astype(np.float64), k + 1, beam)
-        rows = []
-        for name, nodes, distances in zip(names.tolist(), found.tolist(), exact.tolist()):
-            mine = sorted((d, int(i)) for node, d in zip(nodes, distances) if d < np.inf for i in members[node] if i != name)
-            rows += [(name, i, d) for d, i in mine[:k]]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
-
-    found = met.groupBy("shard", "block").cogroup(indexes.groupBy("shard", "block")).applyInPandas(
-        answer, "query_id bigint, vec_id bigint, score double"
+    spark = shards.sparkSession
+    count = shards.count()
+    tasks = max(1, -(-spark.sparkContext.defaultParallelism // max(1, count)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(max(1, n) - 1)))
+    asked = queries.select(
+        every(count).alias("shard"), F.pmod(F.xxhash64("id", F.lit(7)), F.lit(tasks)).cast("int").alias("share"),
+        F.lit(None).cast("int").alias("band"), F.lit(None).cast("array<array<bigint>>").alias("ids"), F.lit(None).cast("binary").alias("index"), "id", "vec",
+    )
+    indexes = shards.select(
+        "shard", every(tasks).alias("share"), "band", "ids", "index", F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("array<double>").alias("vec")
     )
+    both = asked.unionByName(indexes.select(*asked.columns))
+    dealt = both.repartitionById(max(1, count) * tasks, F.col("shard") * tasks + F.col("share"))
+
+    def answers(index: Index, members: list, band: int, names: list[int], matrix: np.ndarray) -> pa.RecordBatch:
+        width, at = index.vectors.shape[1], []
+        if matrix.shape[1] == width:
+            found = index.search(np.ldexp(matrix, -BAND * band), k + 1, beam)
+            for name, query, nodes in zip(names, matrix, found):
+                nodes = nodes[nodes >= 0]
+                near = distances(np.ldexp(index.vectors[nodes], BAND * band), query)
+                mine = sorted((float(d), i) for node, d in zip(nodes.tolist(), near) for i in members[node] if i != name)
+                at += [(name, i, d) for d, i in mine[:k]]
+        columns = list(zip(*at)) or [(), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["query_id", "vec_id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = members = band = None
+        for batch in batches:  # the index of the task's shard stands first
+            if index is None:
+                index, members, band = Index.load(batch.column("index")[0].as_py()), batch.column("ids")[0].as_py(), batch.column("band")[0].as_py()
+                batch = batch.slice(1)
+            for low in range(0, batch.num_rows, QUERY_BLOCK):
+                part = batch.slice(low, QUERY_BLOCK)
+                yield answers(index, members, band, part.column("id").to_pylist(), matrix_of(part.column("vec")))
+
+    ordered = dealt.sortWithinPartitions(F.col("id").isNotNull(), "id")
+    found = ordered.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -50,22 +50,37 @@ def capped_shares(total: float, capacity: list[float], weights: list[float]) ->
 def cheapest_flow(patterns: dict[tuple, int], quotas: dict, costs: tuple[int, ...] = COSTS) -> dict[tuple, int]:
     """Words each pattern gives, by successive shortest paths.
 
-    ``patterns``: size of each tuple of sources; ``quotas``: words wanted by each source. A
-    pattern whose only source has no other pattern is settled without a network.
+    ``patterns``: size of each tuple of sources; ``quotas``: words wanted by each source. Paths
+    are searched in the parts of the network that share no source one after the other, so that
+    the work follows the size of a part.
     """
-    of = defaultdict(list)
+    given: dict[tuple, int] = {}
+    for part in _parts(patterns):
+        given |= _flow({p: patterns[p] for p in part}, quotas, costs)
+    return given
+
+
+def _parts(patterns: dict[tuple, int]) -> list[list[tuple]]:
+    """Patterns that hang together by their sources; a pattern without a source by itself."""
+    root: dict = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
     for pattern in patterns:
         for source in pattern:
-            of[source].append(pattern)
-    given: dict[tuple, int] = {}
-    rest = {}
-    for pattern, size in patterns.items():
-        if len(pattern) == 1 and len(of[pattern[0]]) == 1:
-            given[pattern] = min(quotas.get(pattern[0], 0), len(costs) * size)
-        else:
-            rest[pattern] = size
-    if not rest:
-        return given
+            root[find(("s", source))] = find(("p", pattern))
+    groups = defaultdict(list)
+    for pattern in patterns:
+        groups[find(("p", pattern))].append(pattern)
+    return list(groups.values())
+
+
+def _flow(patterns: dict[tuple, int], quotas: dict, costs: tuple[int, ...]) -> dict[tuple, int]:
+    """The flow of one part of the network."""
     start, end = ("start",), ("end",)
     edges: list[list] = []  # to, capacity left, cost; the reverse edge follows each edge
     out = defaultdict(list)
@@ -75,12 +90,12 @@ def cheapest_flow(patterns: dict[tuple, int], quotas: dict, costs: tuple[int, ..
             out[x].append(len(edges))
             edges.append([y, c, w])
 
-    for pattern, size in rest.items():
+    for pattern, size in patterns.items():
         for cost in costs:
             edge(start, ("p", pattern), size, cost)
         for source in pattern:
             edge(("p", pattern), ("s", source), len(costs) * size, 0)
-    for source in {s for p in rest for s in p}:
+    for source in dict.fromkeys(s for p in patterns for s in p):
         edge(("s", source), end, quotas.get(source, 0), 0)
     potential = defaultdict(int)
     while True:
@@ -108,8 +123,9 @@ def cheapest_flow(patterns: dict[tuple, int], quotas: dict, costs: tuple[int, ..
         for k in path:
             edges[k][1] -= amount
             edges[k ^ 1][1] += amount
-    for pattern in rest:
-        given[pattern] = sum(edges[k ^ 1][1] for k in out[start] if edges[k][0] == ("p", pattern))
+    given = dict.fromkeys(patterns, 0)
+    for k in out[start]:
+        given[edges[k][0][1]] += edges[k ^ 1][1]
     return given
 
 
