@@ -77,7 +77,7 @@ def write_pieces(
 
     rows = id_and_text(docs, id_col, text_col)
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
-    cut = rows.mapInArrow(tidy(run, lambda: word_tokens(path).words.clear()), schema)
+    cut = rows.mapInArrow(tidy(run), schema)
     return _written(cut.select(F.monotonically_increasing_id().alias("key"), "*"), "pieces")
 
 
@@ -153,8 +153,12 @@ def meeting_ranks(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, in
     return ranges
 
 
-def _round(waiting: DataFrame, gaps: DataFrame, rows: int, longest: int) -> DataFrame:
-    """One round: ``key, length, bin`` of the waiting pieces, with a null bin where no gap was found.
+_PLACED = "key bigint, length bigint, bin bigint"
+
+
+def _round(waiting: DataFrame, gaps: DataFrame, rows: int, longest: int) -> tuple[DataFrame, str]:
+    """One round: ``key, length, bin`` of the waiting pieces, with a null bin where no gap was found,
+    and the path where they are written.
 
     ``rows``: about how many pieces and gaps there are; ``longest``: the longest waiting piece.
     """
@@ -171,13 +175,15 @@ def _round(waiting: DataFrame, gaps: DataFrame, rows: int, longest: int) -> Data
     # Ids break ties, so that one length may be that of any share of the rows.
     order = ["value", "kind", "id"]
     dealt = items.repartitionByRange(parts, *order) if parts > 1 else items.repartition(1)
-    swept = _written(dealt.sortWithinPartitions(*order).mapInArrow(tidy(_sweep), _SWEPT), "swept")
+    path = scratch(spark, "packing-swept")
+    dealt.sortWithinPartitions(*order).mapInArrow(tidy(_sweep), _SWEPT).write.parquet(path)
+    swept = spark.read.schema(_SWEPT).parquet(path)
     pairs, left = swept.filter("rank is null").select("key", "length", "bin"), swept.filter("rank is not null")
     # One row per partition; with one partition nothing is left that could meet.
     counts = left.groupBy("part").agg(F.count("key"), F.count("bin")).collect() if parts > 1 else []
     meeting = meeting_ranks(sorted(map(tuple, counts)))
     if not meeting:
-        return pairs.unionByName(left.filter("key is not null").select("key", "length", "bin"))
+        return swept.filter("key is not null").select("key", "length", "bin"), path
     schema = "match bigint, pieces int, low_piece bigint, gaps int, low_gap bigint, number bigint"
     ranges = F.broadcast(spark.createDataFrame(meeting, schema))
     inside = lambda low: (F.col("rank") >= F.col(low)) & (F.col("rank") < F.col(low) + F.col("number"))
@@ -185,7 +191,9 @@ def _round(waiting: DataFrame, gaps: DataFrame, rows: int, longest: int) -> Data
     alone = alone.select("key", "length", (F.col("match") + F.col("number") - 1 - F.col("rank") + F.col("low_piece")).alias("match"))
     open_gaps = left.filter("key is null").join(ranges, (F.col("part") == F.col("gaps")) & inside("low_gap"))
     open_gaps = open_gaps.select("bin", (F.col("match") + F.col("rank") - F.col("low_gap")).alias("match"))
-    return pairs.unionByName(alone.join(open_gaps, "match", "left").select("key", "length", "bin"))
+    path = scratch(spark, "packing-round")
+    pairs.unionByName(alone.join(open_gaps, "match", "left").select("key", "length", "bin")).write.parquet(path)
+    return spark.read.schema(_PLACED).parquet(path), path
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -198,31 +206,30 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = rows.sparkSession
     waiting = rows.select("key", F.col("length").cast("bigint").alias("length"))
     gaps = spark.createDataFrame([], "bin bigint, gap bigint")
-    facts = [F.count("*"), F.sum("length"), F.min("length"), F.max("length")]
-    count, tokens, shortest, longest = waiting.agg(*facts).first()
     rounds: list[str] = []
-    bins = held = widest = 0
-    before = 0
-    while count:
+    bins = before = 0
+    while True:
+        # Of pieces and gaps at once: one pass for each round.
+        both = waiting.select("length", F.lit(None).cast("bigint").alias("gap")).unionByName(gaps.select(F.lit(None).cast("bigint").alias("length"), "gap"))
+        count, tokens, shortest, longest, held, widest = both.agg(
+            F.count("length"), F.sum("length"), F.min("length"), F.max("length"), F.count("gap"), F.coalesce(F.max("gap"), F.lit(0))
+        ).first()
+        if not count:
+            break
         if widest < shortest or before - count < LEAST_SHARE * before or not bins:
             new = max(math.ceil(tokens / capacity), math.ceil(count / (capacity // shortest)))
             fresh = spark.range(bins, bins + new).select(F.col("id").alias("bin"), F.lit(capacity).cast("bigint").alias("gap"))
             gaps, bins, held = gaps.unionByName(fresh), bins + new, held + new
         before = count
-        path = scratch(spark, "packing-round")
-        _round(waiting, gaps, count + held, longest).write.parquet(path)
+        done, path = _round(waiting, gaps.filter(F.col("gap") >= shortest), count + held, longest)
         rounds.append(path)
-        done = spark.read.schema("key bigint, length bigint, bin bigint").parquet(path)
         waiting = done.filter("bin is null").select("key", "length")
-        count, tokens, shortest, longest = waiting.agg(*facts).first()
-        if count:
-            filled = done.filter("bin is not null").select("bin", (-F.col("length")).alias("gap"))
-            rest = gaps.unionByName(filled).groupBy("bin").agg(F.sum("gap").alias("gap"))
-            gaps = _written(rest.filter(F.col("gap") >= shortest), "gaps")
-            held, widest = gaps.agg(F.count("*"), F.coalesce(F.max("gap"), F.lit(0))).first()
+        filled = done.filter("bin is not null").select("bin", (-F.col("length")).alias("gap"))
+        rest = gaps.unionByName(filled).groupBy("bin").agg(F.sum("gap").alias("gap"))
+        gaps = _written(rest.filter(F.col("gap") >= shortest), "gaps")
     if not rounds:
         return spark.createDataFrame([], "key bigint, sequence_id bigint, offset bigint")
-    placed = spark.read.schema("key bigint, length bigint, bin bigint").parquet(*rounds).filter("bin is not null")
+    placed = spark.read.schema(_PLACED).parquet(*rounds).filter("key is not null and bin is not null")
     earlier = Window.partitionBy("bin").orderBy(F.desc("length"), "key").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select("key", F.col("bin").alias("sequence_id"), F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("offset"))
 
