@@ -229,7 +229,18 @@ def tile_join(
             .drop("base_tiles", "probe_tiles")
         )
 
-    names = [part.split()[0] for part in schema.split(",")]
+    names = [name for name, _ in _fields(schema)]
+    keys = ["cell", "base_tile", "probe_tile"]
+    return (
+        spread(base, "base", "probe").groupBy(*keys)
+        .cogroup(spread(probe, "probe", "base").groupBy(*keys))
+        .applyInArrow(multiplier(reducer, schema), schema)
+        .select(*names)
+    )
+
+
+def multiplier(reducer: Reducer, schema: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A co-group's function: the two tables as matrices, strip by strip, through the reducer."""
 
     def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[list[np.ndarray]] = []
@@ -251,13 +262,7 @@ def tile_join(
             }
         )
 
-    keys = ["cell", "base_tile", "probe_tile"]
-    return (
-        spread(base, "base", "probe").groupBy(*keys)
-        .cogroup(spread(probe, "probe", "base").groupBy(*keys))
-        .applyInArrow(multiply, schema)
-        .select(*names)
-    )
+    return multiply
 
 
 _ARROW = {"bigint": pa.int64(), "double": pa.float64()}

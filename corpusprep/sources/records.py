@@ -59,14 +59,21 @@ def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int]
                 yield (int(files[low]), int(starts[low])), batch.column("value").slice(low, high - low).to_pylist()
 
 
+def placed_lines(lines: DataFrame) -> DataFrame:
+    """``value, file, start``: lines of text files, read in batch or as a stream, with their split."""
+    return lines.select("value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+
 def csv_records(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """``value``: the records of CSV files without their headers, line breaks in cells as ``\\n``.
+    """``value``: the records of CSV files without their headers, line breaks in cells as ``\\n``."""
+    return records_of(placed_lines(spark.read.option("lineSep", "\n").text(path)), delimiter)
+
+
+def records_of(lines: DataFrame, delimiter: str = ",") -> DataFrame:
+    """The records of whole files given as ``placed_lines``: a folder's, or a micro-batch's.
 
     The driver holds one entry per split of the files.
     """
-    lines = spark.read.option("lineSep", "\n").text(path).select(
-        "value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
-    )
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states: dict[tuple[int, int], list[bool]] = {}

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from corpusprep.operators.rows import column
-from corpusprep.sources.records import csv_records
+from corpusprep.sources.records import csv_records, placed_lines, records_of
 
 FORMATS = {".csv": "csv", ".parquet": "parquet"}
 # Words that stand for a missing cell.
@@ -45,14 +47,17 @@ def read_csv(
     names = csv_columns(spark, path)
     if not names:
         return spark.createDataFrame([], T.StructType([]))
-    records = csv_records(spark, path)
+    fields = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in names)
+    return _parsed(csv_records(spark, path), fields, keep_blank_lines, na_values)
+
+
+def _parsed(records: DataFrame, fields: str, keep_blank_lines: bool, na_values: tuple[str, ...]) -> DataFrame:
+    """Records as rows. ``fields`` is a DDL list."""
     if not keep_blank_lines:
         records = records.filter("value <> ''")
-    fields = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in names)
     # The parser reads one record: a line break inside a cell is a character like any other.
     parsed = F.from_csv("value", F.lit(fields), {"escape": '"', "maxCharsPerColumn": "-1", "multiLine": "true"})
-    table = records.select(parsed.alias("r")).select("r.*")
-    return _without(table, na_values)
+    return _without(records.select(parsed.alias("r")).select("r.*"), na_values)
 
 
 def _without(table: DataFrame, na_values: tuple[str, ...]) -> DataFrame:
@@ -89,6 +94,7 @@ def stream_table(
 
     CSV files may have line breaks in quoted cells, so each is read by one task. Missing words
     are as in ``read_csv``; empty lines are left out, as Spark's CSV reader skips them.
+    ``CsvStream`` keeps them and reads files in splits, for sinks that take whole batches.
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if kind == "csv":
@@ -97,6 +103,31 @@ def stream_table(
     return reader.format(kind).load(folder)
 
 
+class CsvStream:
+    """CSV files of a folder in micro-batches of whole files, read as ``read_csv`` reads them.
+
+    Empty lines are rows of missing values, quoted cells keep their line breaks, and a file of
+    any size is read in splits by many tasks: each batch gets its own survey of where records
+    begin. ``schema`` is a DDL list of the columns in their order; every file has a header.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType | str, files_per_batch: int = 1,
+                 keep_blank_lines: bool = True, na_values: tuple[str, ...] = MISSING_WORDS):
+        lines = spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_batch)
+        self.lines = placed_lines(lines.text(folder))
+        self.fields = schema if isinstance(schema, str) else ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+        self.keep_blank_lines, self.na_values = keep_blank_lines, na_values
+
+    def start(self, process: Callable[[DataFrame, int], None], checkpoint: str, **trigger) -> StreamingQuery:
+        """Call ``process`` with the rows and the number of each batch, such as the sinks' own."""
+
+        def each(lines: DataFrame, batch_id: int) -> None:
+            process(_parsed(records_of(lines), self.fields, self.keep_blank_lines, self.na_values), batch_id)
+
+        writer = self.lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def write_table(table: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A table as a folder of CSV files with header, or of Parquet files."""
     writer = table.write.mode(mode)

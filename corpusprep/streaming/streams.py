@@ -10,8 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from corpusprep.functions.text import dedup_key, key_digest
 from corpusprep.operators.cleaning import clean, cleaning_stats
 from corpusprep.operators.dedup import exact_dedup, known_digests
-from corpusprep.operators.rows import target_value
+from corpusprep.operators.rows import column, cut_lineage, target_value
 from corpusprep.operators.semantic import semantic_dedup
+from corpusprep.operators.stored import BUCKETS, BucketTable, RepresentativeIndex
 
 clean_stream = clean  # stateless: the batch operator as it is
 cleaning_stats_stream = cleaning_stats  # a running aggregate: complete output mode
@@ -86,19 +87,24 @@ class DedupStream(BatchFolders):
     """Exact deduplication of a stream that keeps the first row of every key.
 
     Rows of a micro-batch are decided in the order of ``order``, those of earlier batches come
-    before them. The keys seen are a table of 32-byte digests.
+    before them. The keys seen are a table of 32-byte digests in buckets: a batch's digests are
+    shuffled to them, the stored ones stay where they are, and older batches are merged.
     """
 
-    def __init__(self, folder: str, target: str = "text", order: str = "row_index"):
+    def __init__(self, folder: str, target: str = "text", order: str = "row_index", buckets: int = BUCKETS):
         super().__init__(folder)
         self.target = target
         self.order = order
+        self.keys = BucketTable(f"{self.folder}/keys", "digest BINARY", "digest", buckets)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        known = self._before(batch.sparkSession, "keys", batch_id)
+        spark = batch.sparkSession
+        known = self.keys.before(spark, batch_id)
         kept = exact_dedup(batch, self.target, self.order, known)
         self._write("kept", kept, batch_id)
-        self._write("keys", known_digests(kept, self.target), batch_id)
+        written = spark.read.schema(batch.schema).parquet(f"{self.folder}/kept/batch={batch_id}")
+        self.keys.write(known_digests(written, self.target), batch_id)
+        self.keys.merge(spark, batch_id)
 
     def kept(self, spark: SparkSession) -> DataFrame:
         return self._result(spark, "kept")
@@ -135,3 +141,34 @@ class SemanticDedupStream(BatchFolders):
 
     def representatives(self, spark: SparkSession) -> DataFrame:
         return self._result(spark, "representatives")
+
+
+class IndexedSemanticStream(SemanticDedupStream):
+    """``SemanticDedupStream`` with an index of the representatives (``RepresentativeIndex``).
+
+    A batch reads the cells of the index that its vectors fall into, and is compared with the
+    representatives found there; work follows the batch, not what came before. A representative
+    similar to a row is found with probability ``recall``; where one is missed the row is kept.
+    """
+
+    def __init__(self, folder: str, threshold: float = 0.9, recall: float = 0.95, rows: int = 1 << 20, buckets: int = BUCKETS,
+                 vector: str = "embedding", target: str = "text", order: str = "row_index", category: str = "category",
+                 category_type: str = "string", **options):
+        super().__init__(folder, target, order, category, threshold=threshold, vector=vector, **options)
+        self.vector = vector
+        self.index = RepresentativeIndex(f"{self.folder}/index", threshold, recall, rows, buckets, category_type)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        key = dedup_key(target_value(batch, self.target))
+        firsts = batch.select(column(self.order).cast("bigint").alias("id"), key.alias("key"), column(self.vector).alias("vec"))
+        units = firsts.groupBy(key_digest(F.col("key")).alias("digest")).agg(
+            F.min("id").alias("id"), F.min_by(F.when(F.col("key") != "", F.col("vec")), "id").alias("vec")
+        )
+        known = cut_lineage(self.index.relevant(cut_lineage(units, "batch-units"), batch_id), "known")
+        outcome = semantic_dedup(batch, self.target, order=self.order, category=self.category, known=known, **self.options)
+        self._write("kept", outcome.kept(), batch_id)
+        self._write("matches", outcome.matches(), batch_id)
+        self.index.add(cut_lineage(outcome.new_representatives(), "new-representatives"), batch_id)
+
+    def representatives(self, spark: SparkSession) -> DataFrame:
+        return self.index.all(spark)

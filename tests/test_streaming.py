@@ -3,7 +3,8 @@
 import pytest
 
 from corpusprep.operators.cleaning import cleaning_stats
-from corpusprep.sources.tables import stream_table
+from corpusprep.operators import stored
+from corpusprep.sources.tables import CsvStream, read_csv, stream_table
 from corpusprep.streaming import streams
 from test_semantic import clustered, sequential, table
 
@@ -70,6 +71,44 @@ def test_csv_source(spark, tmp_path):
     assert len(drain(streams.dedup_stream(stream), tmp_path)) == 1
 
 
+def test_csv_stream_keeps_blank_lines_and_splits_files(spark, tmp_path):
+    """One file over many tasks, with quoted line breaks across the splits, equals the batch reader."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in ("a", "b"):
+        cells = [f'"{name}{k}\n\nmore, ""and"" more {"x" * (k % 90)}",{k}' if k % 3 else "" if k % 2 else f"{name}{k},NA" for k in range(400)]
+        (folder / f"{name}.csv").write_text("text,n\n" + "\n".join(cells) + "\n", encoding="utf8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        batches = {}
+
+        def keep(rows, batch_id):
+            batches[batch_id] = (rows.collect(), rows.rdd.getNumPartitions())
+
+        CsvStream(spark, str(folder), "text string, n string").start(keep, str(tmp_path / "cp")).awaitTermination()
+        want = read_csv(spark, str(folder / "*.csv")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = [row for rows, _ in batches.values() for row in rows]
+    key = lambda r: (r.text or "", r.n or "")
+    assert len(batches) == 2 and all(tasks > 4 for _, tasks in batches.values())
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr) and len(got) == 800
+    assert sum(key(r) == ("", "") for r in got) == 2 * sum(k % 3 == 0 and k % 2 == 1 for k in range(400))
+
+
+def test_exact_dedup_over_many_batches(spark, tmp_path):
+    """Older batches of keys are merged; replays and results stay as they are."""
+    rows = spark.createDataFrame([(k, f"t{k % 37}") for k in range(72)], "row_index bigint, text string")
+    sink = streams.DedupStream(str(tmp_path / "out"), buckets=2)
+    sink.keys.merge = lambda session, batch: stored.BucketTable.merge(sink.keys, session, batch, 3)
+    for batch in range(6):
+        sink.process(rows.filter(f"row_index >= {12 * batch} AND row_index < {12 * batch + 12}"), batch)
+    sink.process(rows.filter("row_index >= 60"), 5)
+    assert sorted(r.row_index for r in sink.kept(spark).collect()) == list(range(37))
+    assert min(sink.keys.batches(spark)) < 0 and len(sink.keys.batches(spark)) <= 4
+
+
 def test_semantic_stream_equals_the_sequential_pass_and_survives_a_replay(spark, tmp_path):
     matrix = clustered(41, 8, 10, 5, 0.35)
     keys = [f"t{i}" for i in range(80)]
