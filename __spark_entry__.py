@@ -318,19 +318,26 @@ def semantic_stats(spark, sf):
     return semantic_dedup(_vectors(spark, sf), threshold=SIMILAR).stats().drop("embedding_model")
 
 
-def _blanked(spark, sf):
-    """Texts of the documents that have a vector of their own, French ones left out to have blanks."""
+def _with_blanks(rows: DataFrame) -> DataFrame:
+    """All rows under even numbers, and beside each French one a row with a missing text."""
+    real = rows.withColumn("row_index", 2 * F.col("row_index"))
+    blank = real.filter("lang = 'fr'").withColumn("row_index", F.col("row_index") + 1).withColumn("text", F.lit(None).cast("string"))
+    return real.unionByName(blank)
+
+
+def _texts(spark, sf):
+    """Every vector with the text of its document; those without a document have none."""
     documents = _table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text", "lang")
-    rows = _table(spark, sf, "embeddings").join(documents, "vec_id")
-    return rows.select(F.col("vec_id").alias("row_index"), F.when(F.col("lang") != "fr", F.col("text")).alias("text"), "lang", "embedding")
+    rows = _table(spark, sf, "embeddings").join(documents, "vec_id", "left")
+    return _with_blanks(rows.select(F.col("vec_id").alias("row_index"), "text", "lang", "embedding"))
 
 
 def semantic_dedup_texts(spark, sf):
-    return semantic_dedup(_blanked(spark, sf), threshold=SIMILAR).kept().select("row_index", "lang")
+    return semantic_dedup(_texts(spark, sf), threshold=SIMILAR).kept().select("row_index", "lang")
 
 
 def semantic_matches_texts(spark, sf):
-    found = semantic_dedup(_blanked(spark, sf), threshold=SIMILAR, category="lang").matches()
+    found = semantic_dedup(_texts(spark, sf), threshold=SIMILAR, category="lang").matches()
     return found.select("row_index", "duplicate_of_row_index", "lang", "matched_lang", "same_lang", F.round("similarity", 6).alias("similarity"))
 
 
@@ -398,9 +405,8 @@ def cluster_analysis(spark, sf):
 
 
 def clustered_rows(spark, sf):
-    """The whole path with a given assignment; French texts are blank and thus noise."""
-    french = F.when(F.col("lang") != "fr", F.col("text"))
-    rows = _labelled(spark, sf).withColumn("text", french).withColumnRenamed("cluster_id", "given")
+    """The whole path with a given assignment; blank texts are noise."""
+    rows = _with_blanks(_labelled(spark, sf)).withColumnRenamed("cluster_id", "given")
     given = rows.select("row_index", F.col("given").alias("cluster_id"))
     found = cluster_texts(rows, vector="embedding", assignment=given).clustered()
     return found.select("row_index", "cluster_id", "is_noise", "cluster_size", "cluster_label")
@@ -643,12 +649,13 @@ _LABELLED = (
     "labelled AS (SELECT d.doc_id AS row_index, d.text AS raw, d.lang AS lang, e.embedding AS embedding, e.label AS cluster_id, "
     f"{_strip('d.text')} AS text FROM {_PAIRED})"
 )
-_TEXT_UNITS = (
-    f"SELECT id, e FROM (SELECT e.vec_id AS id, e.embedding AS e, "
-    f"row_number() OVER (PARTITION BY {_key('d.text')} ORDER BY e.vec_id) AS c FROM embeddings e "
-    "JOIN documents d ON e.vec_id = d.doc_id WHERE d.lang <> 'fr') WHERE c = 1"
+_JOB = (
+    f"(SELECT *, {_key('text')} AS k FROM (SELECT 2 * e.vec_id AS id, d.text AS text, d.lang AS lang, e.embedding AS e FROM embeddings e "
+    "LEFT JOIN documents d ON e.vec_id = d.doc_id UNION ALL SELECT 2 * e.vec_id + 1, NULL, d.lang, e.embedding FROM embeddings e "
+    "JOIN documents d ON e.vec_id = d.doc_id WHERE d.lang = 'fr'))"
 )
-_FIRST_BLANK = "(SELECT min(e.vec_id) FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id WHERE d.lang = 'fr')"
+_TEXT_UNITS = f"SELECT id, e FROM (SELECT id, e, row_number() OVER (PARTITION BY k ORDER BY id) AS c FROM {_JOB} WHERE k <> '') WHERE c = 1"
+_FIRST_BLANK = f"(SELECT min(id) FROM {_JOB} WHERE k = '')"
 
 
 def _tokens(x: str) -> str:
@@ -782,16 +789,15 @@ def oracle_sql() -> dict[str, str]:
             f"'semantic' AS dedupe_mode, CAST({SIMILAR} AS DOUBLE) AS semantic_threshold FROM reps"
         ),
         "semantic_dedup_texts": (
-            f"WITH {_walk(_TEXT_UNITS)} SELECT doc_id AS row_index, lang FROM documents "
-            f"WHERE doc_id IN (SELECT id FROM reps) OR doc_id = {_FIRST_BLANK}"
+            f"WITH {_walk(_TEXT_UNITS)} SELECT id AS row_index, lang FROM {_JOB} WHERE id IN (SELECT id FROM reps) OR id = {_FIRST_BLANK}"
         ),
         "semantic_matches_texts": (
-            f"WITH {_walk(_TEXT_UNITS)}, rows AS (SELECT e.vec_id AS id, first_value(e.embedding) OVER (PARTITION BY {_key('d.text')} ORDER BY e.vec_id) AS e "
-            "FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id WHERE d.lang <> 'fr'), "
+            f"WITH {_walk(_TEXT_UNITS)}, job AS {_JOB}, rows AS (SELECT id, first_value(e) OVER (PARTITION BY k ORDER BY id) AS e FROM job WHERE k <> ''), "
             f"m AS ({matches.format(rows='rows')}), "
-            f"blank AS (SELECT e.vec_id AS row_index, {_FIRST_BLANK} AS match, CAST(1.0 AS DOUBLE) AS s FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id WHERE d.lang = 'fr') "
-            "SELECT row_index, match AS duplicate_of_row_index, a.lang AS lang, b.lang AS matched_lang, a.lang = b.lang AS same_lang, round(s, 6) AS similarity "
-            "FROM (SELECT * FROM m UNION ALL SELECT * FROM blank WHERE row_index > match) x JOIN documents a ON a.doc_id = row_index JOIN documents b ON b.doc_id = match"
+            f"blank AS (SELECT id AS row_index, {_FIRST_BLANK} AS match, CAST(1.0 AS DOUBLE) AS s FROM job WHERE k = '') "
+            "SELECT row_index, match AS duplicate_of_row_index, a.lang AS lang, b.lang AS matched_lang, coalesce(a.lang = b.lang, false) AS same_lang, "
+            "round(s, 6) AS similarity FROM (SELECT * FROM m UNION ALL SELECT * FROM blank WHERE row_index > match) x "
+            "JOIN job a ON a.id = row_index JOIN job b ON b.id = match"
         ),
         "semantic_dedup_two_parts": (
             f"WITH {_walk('SELECT row_number() OVER (ORDER BY label, vec_id) - 1 AS id, embedding AS e FROM embeddings')}, "
@@ -827,9 +833,10 @@ def oracle_sql() -> dict[str, str]:
             "round_even(cluster_size / (SELECT sum(cluster_size) FROM sizes), 4) AS cluster_ratio, cluster_label, top_keywords, representative_text FROM facts"
         ),
         "clustered_rows": (
-            f"WITH {_LABELLED}, placed AS (SELECT * FROM labelled WHERE lang <> 'fr'), {_facts_sql('placed')} "
+            f"WITH {_LABELLED}, placed AS (SELECT * REPLACE (2 * row_index AS row_index) FROM labelled WHERE text <> ''), {_facts_sql('placed')} "
             "SELECT row_index, CAST(l.cluster_id AS BIGINT) AS cluster_id, false AS is_noise, cluster_size, cluster_label FROM placed l JOIN facts USING (cluster_id) "
-            "UNION ALL SELECT row_index, CAST(-1 AS BIGINT), true, CAST(1 AS BIGINT), '' FROM labelled WHERE lang = 'fr'"
+            "UNION ALL SELECT 2 * row_index, CAST(-1 AS BIGINT), true, CAST(1 AS BIGINT), '' FROM labelled WHERE text = '' "
+            "UNION ALL SELECT 2 * row_index + 1, CAST(-1 AS BIGINT), true, CAST(1 AS BIGINT), '' FROM labelled WHERE lang = 'fr'"
         ),
         "normalized_labels": (
             "SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace("
