@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.llm import bpe, langid, mixing, queries, secrets, simhash
-from corpusprep.llm.common import free_name
+from corpusprep.llm.common import free_name, scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,12 +28,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Of repeated rows with that id, one stays. Documents without an id all stay.
+    Rows are told apart by a number of their own, so rows that share an id, or have none, are
+    documents like all others; of equal ids the first number stays, a null id comes last.
     """
-    near = simhash.near_duplicates(docs, words=3, radius=2)
-    firsts = near.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+    row = free_name(docs, "row")
+    path = scratch(spark, "numbered-documents")
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
+    numbered = spark.read.parquet(path)
+    near = simhash.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), words=3, radius=2)
+    ids = numbered.select(F.col(row).alias("number"), F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row).alias("number")).alias("place"))
+    least = ids.join(near.select(F.col("doc_id").alias("number"), "component_id"), "number").groupBy("component_id").agg(F.min("place").alias("place"))
+    firsts = least.select(F.col("place.number").alias(row))
+    return numbered.join(firsts, row, "left_semi").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

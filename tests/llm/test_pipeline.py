@@ -42,7 +42,15 @@ def test_odd_rows(spark, odd, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_rows_that_share_an_id_are_told_apart(spark):
+    base = [" ".join(f"w{(k * 7 + j * j * k) % 97}" for j in range(40)) for k in range(4)]
+    rows = [(1, base[0]), (1, base[1]), (2, base[1]), (None, base[2]), (None, base[2]), (3, base[2]), (None, base[3]), (4, None), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOC_SCHEMA)
+    kept = by_id((r.doc_id, r.text) for r in stages.drop_near_copies(spark, docs, SF).collect())
+    assert kept == by_id([(1, base[0]), (1, base[1]), (3, base[2]), (None, base[3]), (4, None)])
+
+
 def test_registration():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
