@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from corpusprep.llm.common import matrix_of
 from corpusprep.operators.rows import column, cut_lineage
 
-#: Vectors of a shard: about 35 MB with 64 components and the links.
-SHARD_ROWS = 32768
+#: Vectors of a shard: about 5 MB with 64 components and the links, some 20 s to build.
+SHARD_ROWS = 8192
 #: Links of a node in the upper layers; the lowest has twice as many.
 WIDTH = 16
 #: Candidates kept while building and while searching.
