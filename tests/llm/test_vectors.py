@@ -148,3 +148,24 @@ def test_queries(spark):
             distance = np.sqrt(((matrix - matrix[k]) ** 2).sum(axis=1))
             hits += len({r.vec_id for r in got if r.query_id == name} & {names[i] for i in np.argsort(distance)[1:11]})
     assert hits >= 0.95 * len(got) > 0
+
+
+@pytest.mark.parametrize("kind", ["plain", "shifted", "huge row", "tight clusters"])
+def test_recall_of_one_shard(kind):
+    """More than 4096 vectors in an index, also where squares lose their digits."""
+    rng = np.random.default_rng(3)
+    matrix = rng.standard_normal((4200, 32))
+    if kind == "shifted":
+        matrix += 1e4
+    elif kind == "huge row":
+        matrix[7] = 0
+        matrix[7, 0] = 1e25
+    elif kind == "tight clusters":
+        matrix = 100 * rng.standard_normal((40, 32))[rng.integers(0, 40, 4200)] + 0.01 * matrix
+    index = hnsw.Index.build(matrix, np.arange(len(matrix)))
+    asked = np.arange(0, len(matrix), 20)
+    hits = 0
+    for query, nodes in zip(asked, index.search(matrix[asked], 11)):
+        distance = ((matrix - matrix[query]) ** 2).sum(axis=1)
+        hits += (distance[nodes[nodes >= 0]] <= np.sort(distance)[10]).sum()
+    assert hits >= 0.95 * 11 * len(asked)
