@@ -2,8 +2,8 @@
 
 A package is a ZIP file whose members are stored, not compressed: ``archive/data.warc.gz``,
 where each WARC record is a gzip member of its own, and ``indexes/index.cdx``, one line per
-record with its place. The reader finds the central directory through the end record, or the
-ZIP64 end record where numbers do not fit, locates the stored members, reads the index and
+record with its place. Packages are written with ZIP64 fields. The reader finds the central
+directory through the end record, or the ZIP64 end record where numbers are not in it, locates the stored members, reads the index and
 then each record by its range; nothing is extracted.
 """
 
@@ -13,7 +13,6 @@ import hashlib
 import io
 import struct
 import uuid
-import zipfile
 import zlib
 from collections.abc import Callable, Iterator
 from urllib.parse import quote, unquote
@@ -33,7 +32,12 @@ REVISIT_BYTES = 1000
 PACKAGE_BYTES = 32 << 20
 
 _END, _END64, _LOCATOR, _ENTRY, _LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
-_PLAIN = "".join(chr(c) for c in range(0x21, 0x7F))
+#: Stands in a header for a number that is in the ZIP64 field.
+_IN_EXTRA = 0xFFFFFFFF
+#: Characters that stay as they are in an escaped url.
+_PLAIN = "".join(chr(c) for c in range(0x21, 0x7F) if chr(c) != "%")
+#: Says that the url holds characters which a header cannot, and is escaped; others stay as given.
+_ESCAPED = "X-Target-URI-Escaped: yes"
 
 
 # --- records -------------------------------------------------------------------------------
@@ -45,7 +49,10 @@ def record(page_id: int | None, url: str | None, kind: str, digest: str, size: i
     block = http + (payload if kind == "response" else b"")
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'null' if page_id is None else page_id}>"]
     if url is not None:
-        lines.append(f"WARC-Target-URI: {quote(url, safe=_PLAIN)}")
+        fits = all("!" <= c <= "~" for c in url)
+        lines.append(f"WARC-Target-URI: {url if fits else quote(url, safe=_PLAIN)}")
+        if not fits:
+            lines.append(_ESCAPED)
     lines += ["WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}"]
     if kind == "revisit":
         lines += [
@@ -80,7 +87,7 @@ def parse_record(raw: bytes) -> dict:
     uri = fields.get("warc-target-uri")
     return {
         "page_id": page("warc-record-id"),
-        "url": None if uri is None else unquote(uri),
+        "url": unquote(uri) if uri is not None and "x-target-uri-escaped" in fields else uri,
         "record_type": kind,
         "refers_to": page("warc-refers-to"),
         "payload_digest": digest,
@@ -93,17 +100,30 @@ def parse_record(raw: bytes) -> dict:
 
 
 def package(records: list[bytes], names: list[str]) -> bytes:
-    """A ZIP package of gzipped records; sizes are written in ZIP64 form."""
+    """A ZIP package of gzipped records; all sizes, places and counts are written in ZIP64 form."""
     lines, place = [], 0
     for name, raw in zip(names, records):
-        lines.append(f"{name} {place} {len(raw)}\n")
+        lines.append(f"{name} {place} {len(raw)}\n".encode())
         place += len(raw)
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as archive:
-        for member, parts in ((DATA, records), (INDEX, [line.encode() for line in lines])):
-            with archive.open(zipfile.ZipInfo(member), "w", force_zip64=True) as file:
-                for part in parts:
-                    file.write(part)
+    out, directory = io.BytesIO(), b""
+    for member, parts in ((DATA, records), (INDEX, lines)):
+        name, start, size, crc = member.encode(), out.tell(), sum(map(len, parts)), 0
+        for part in parts:
+            crc = zlib.crc32(part, crc)
+        # Version 4.5, no flags, stored, the first day a ZIP date can hold.
+        facts = struct.pack("<HHHHHI", 45, 0, 0, 0, 33, crc)
+        out.write(_LOCAL + facts + struct.pack("<IIHH", _IN_EXTRA, _IN_EXTRA, len(name), 20) + name)
+        out.write(struct.pack("<HHQQ", 1, 16, size, size))
+        out.writelines(parts)
+        directory += _ENTRY + struct.pack("<H", 45) + facts
+        directory += struct.pack("<IIHHHHHII", _IN_EXTRA, _IN_EXTRA, len(name), 28, 0, 0, 0, 0, _IN_EXTRA) + name
+        directory += struct.pack("<HHQQQ", 1, 24, size, size, start)
+    start = out.tell()
+    out.write(directory)
+    end = out.tell()
+    out.write(_END64 + struct.pack("<QHHIIQQQQ", 44, 45, 45, 0, 0, 2, 2, len(directory), start))
+    out.write(_LOCATOR + struct.pack("<IQI", 0, end, 1))
+    out.write(_END + struct.pack("<HHHHIIH", 0, 0, 0xFFFF, 0xFFFF, _IN_EXTRA, _IN_EXTRA, 0))
     return out.getvalue()
 
 
@@ -118,7 +138,7 @@ def _zip64(extra: bytes, wanted: list[int]) -> list[int]:
         if kind == 1:
             at = place + 4
             for k, value in enumerate(found):
-                if value == 0xFFFFFFFF:
+                if value == _IN_EXTRA:
                     found[k] = struct.unpack_from("<Q", extra, at)[0]
                     at += 8
         place += 4 + size
@@ -136,7 +156,7 @@ def stored_members(read: Read, size: int) -> dict[str, tuple[int, int]]:
     if at < 0:
         raise ValueError("not a ZIP file")
     count, length, offset = struct.unpack_from("<HII", tail, at + 10)
-    if tail[max(0, at - 20) : at][:4] == _LOCATOR and (count == 0xFFFF or 0xFFFFFFFF in (length, offset)):
+    if tail[max(0, at - 20) : at][:4] == _LOCATOR and (count == 0xFFFF or _IN_EXTRA in (length, offset)):
         where = struct.unpack_from("<Q", tail, at - 20 + 8)[0]
         record64 = read(where, 56)
         if record64[:4] != _END64:
@@ -192,7 +212,11 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
     shared = rows.filter(F.length("payload") >= REVISIT_BYTES).groupBy("digest").agg(
         F.max("page_id").alias("holder"), F.count(F.lit(1)).alias("rows")
     )
-    decided = rows.join(shared.filter("rows > 1").select("digest", "holder"), "digest", "left")
+    # Payloads too small to be shared, empty ones above all, are spread instead of meeting at one digest.
+    alone = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
+    key = F.when(F.length("payload") >= REVISIT_BYTES, F.col("digest")).otherwise(alone)
+    holders = shared.filter("rows > 1").select(F.col("digest").alias("key"), "holder")
+    decided = rows.withColumn("key", key).join(holders, "key", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records: list[bytes] = []

@@ -5,13 +5,14 @@ import zipfile
 
 import pytest
 from helpers import by_id, empty
+from pyspark.sql import functions as F
 
 from corpusprep.llm import archives, queries
 
 SCHEMA = "page_id bigint, url string, html string"
 LONG = "é" * 600
 ROWS = [
-    (1, "http://a/ b\n", LONG), (5, None, LONG), (5, "http://b", LONG), (None, "c", LONG), (7, "d", None), (8, "e", ""), (11, "h", "short"),
+    (1, "http://a/ b\n", LONG), (20, "http://x.org/a%20b?q=%2F", "u"), (21, "é%20 %", "u"), (22, "", "u"), (23, " ", "u"), (24, "a:b%", "u"), (5, None, LONG), (5, "http://b", LONG), (None, "c", LONG), (7, "d", None), (8, "e", ""), (11, "h", "short"),
     (12, "h", "short"), (13, "i", "x" * 999), (14, "i", "x" * 999), (15, "j", "y" * 1000), (16, "j", "y" * 1000), (17, "k", "z\r\n\r\n" * 50_000), (18, "k", "z\r\n\r\n" * 50_000),
 ]
 
@@ -67,6 +68,24 @@ def test_zip64_end_record(monkeypatch):
     assert [raw[a : a + n] for a, n in found.values()] == [b"data" * k for k in range(5)]
 
 
+def test_packages_are_zip64_that_others_read():
+    raw = archives.package([b"one", b"three"], ["a", "b"])
+    assert raw[-42:-38] == b"PK\x06\x07" and raw[-98:-94] == b"PK\x06\x06" and raw.count(b"\xff" * 8) >= 4
+    with zipfile.ZipFile(io.BytesIO(raw)) as file:
+        assert file.testzip() is None
+        assert {n: file.read(n) for n in file.namelist()} == {archives.DATA: b"onethree", archives.INDEX: b"a 0 3\nb 3 5\n"}
+    found = archives.stored_members(lambda start, length: raw[start : start + length], len(raw))
+    assert {n: raw[a : a + k] for n, (a, k) in found.items()} == {archives.DATA: b"onethree", archives.INDEX: b"a 0 3\nb 3 5\n"}
+
+
+def test_clashing_names(spark):
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    names = ["payload", "digest", "holder", "key", "rows", "file", "records", "url_", "record_type", "refers_to"]
+    clash = pages.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    got = archives.archived(clash).collect()
+    assert by_id((r.page_id, r.record_type, r.refers_to, r.payload_digest, r.payload_bytes) for r in got) == by_id(want(ROWS))
+
+
 def test_damage_is_noticed():
     raw = archives.record(1, "u", "response", hashlib.sha1(b"body").hexdigest(), 4, b"body", None)
     assert archives.parse_record(raw)["payload"] == b"body"
