@@ -22,11 +22,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.llm.common import key_runs, matrix_of, unit_rows
-from corpusprep.llm.hnsw import valid_vectors
+from corpusprep.llm.hnsw import finite_vectors
 from corpusprep.operators.components import components
 from corpusprep.operators.rows import column, cut_lineage
 
@@ -58,6 +59,15 @@ def _signs(vectors: np.ndarray, table: int, bits: int) -> np.ndarray:
     return ((vectors @ planes.T) > 0) @ (1 << np.arange(bits, dtype=np.int64))
 
 
+def _even(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut into such that hold vectors of one length."""
+    for batch in batches:
+        lengths = pc.list_value_length(batch.column("vec")).to_numpy()
+        found = np.unique(lengths)
+        for length in found:
+            yield batch if len(found) == 1 else batch.filter(pa.array(lengths == length))
+
+
 def label_bits(classes: DataFrame) -> DataFrame:
     """``label, bits``: so many bits that a bucket of the label has about ``BUCKET`` classes."""
     bits = F.round(F.log2(F.count(F.lit(1)) / BUCKET))
@@ -68,9 +78,7 @@ def hashed(nodes: DataFrame, tables: list[int], bits: DataFrame) -> DataFrame:
     """``node, label, vec`` with ``table, code``: a row for each hash table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _even(batches):
             matrix, own = matrix_of(batch.column("vec")), batch.column("bits").to_numpy().astype(np.int64)
             for table in tables:
                 codes = _signs(matrix, table, int(own.max())) & ((1 << own) - 1)
@@ -375,21 +383,23 @@ def near_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
     """``vec_id, n_links, component_id, kept`` of every row.
 
     Two rows are linked if their labels are equal and not null and their cosine, in double
-    precision, is at least ``cosine``. ``n_links`` counts the other rows linked, copies
+    precision, is at least ``cosine``; vectors of different lengths are not. ``n_links`` counts the other rows linked, copies
     included; ``component_id`` is the smallest id reachable; ``kept`` marks the row with that
-    id. Vectors that ``valid_vectors`` rules out and rows without a label have no links and are
+    id. Vectors that ``finite_vectors`` rules out and rows without a label have no links and are
     kept. A row without an id takes part, but is never the smallest of a component with ids.
     """
     rows = df.select(column(id_col).cast("bigint").alias("vec_id"), column(label_col).cast("string").alias("label"), column(vec_col).cast("array<double>").alias("raw"))
     rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()), "vector-rows")
-    valid = valid_vectors(rows.filter("label is not null"), "row", "raw", "label", "vec_id")
+    # Vectors of different lengths have no cosine: each length of a label is a label of its own.
+    valid = finite_vectors(rows.filter("label is not null"), "row", "raw", "label", "vec_id")
+    valid = valid.withColumn("label", F.concat_ws(":", F.size("vec"), "label"))
     classes = valid.groupBy("label", "vec").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), F.min("id").alias("node"))
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _even(batches):
             # Scaled by the largest component first, so that squares neither over- nor underflow.
-            matrix = matrix_of(batch.column("vec")) if batch.num_rows else np.zeros((0, 1))
-            scaled = unit_rows(matrix / np.abs(matrix).max(axis=1, initial=1e-300)[:, None]) if batch.num_rows else matrix
+            matrix = matrix_of(batch.column("vec"))
+            scaled = unit_rows(matrix / np.abs(matrix).max(axis=1, initial=0.0)[:, None])
             vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(scaled) + 1, dtype=np.int32) * matrix.shape[1]), pa.array(scaled.ravel()))
             columns = [vectors if c == "unit" else batch.column(c) for c in ("node", "label", "vec", "unit", "copies", "least") if c == "unit" or c in batch.schema.names]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "label", "vec", "unit", "copies", "least"])

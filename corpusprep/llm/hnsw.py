@@ -36,16 +36,20 @@ BATCH, EXPAND, QUERY_BLOCK = 256, 4, 256
 BAND = 256
 
 
-def valid_vectors(df: DataFrame, id_col: str, vec_col: str, *more: str) -> DataFrame:
+def finite_vectors(df: DataFrame, id_col: str, vec_col: str, *more: str) -> DataFrame:
     """``id, vec`` (array<double>) and columns ``more`` of the rows whose vector takes part.
 
-    Vectors that are null, empty or zero, or hold null, NaN or infinite components take no
-    part; nor do vectors of another length than the commonest one (the longer on a tie).
+    Vectors that are null, empty or zero, or hold null, NaN or infinite components take no part.
     """
     vec = column(vec_col).cast("array<double>")
     rows = df.select(column(id_col).cast("bigint").alias("id"), vec.alias("vec"), *[column(c) for c in more])
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    good = rows.filter(F.col("vec").isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists("vec", lambda x: x != 0))
+    return rows.filter(F.col("vec").isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists("vec", lambda x: x != 0))
+
+
+def valid_vectors(df: DataFrame, id_col: str, vec_col: str, *more: str) -> DataFrame:
+    """``finite_vectors`` of the commonest length (the longer on a tie): others have no distance to them."""
+    good = finite_vectors(df, id_col, vec_col, *more)
     # One row per length.
     length = good.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     return good.filter(F.size("vec") == (length["n"] if length else 0))

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from helpers import empty
+from pyspark.sql import functions as F
 
 from corpusprep.llm import descent, hnsw, queries
 
@@ -18,10 +19,10 @@ def linked(rows, cosine=0.93):
     """Links and components by comparing all pairs."""
     good = [
         k for k, (_, v, label) in enumerate(rows)
-        if label is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v) and len(v) == len(rows[6][1])
+        if label is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)
     ]
     unit = {k: np.array(rows[k][1]) / np.linalg.norm(rows[k][1]) for k in good}
-    near = {k: [j for j in good if j != k and rows[j][2] == rows[k][2] and unit[j] @ unit[k] >= cosine] for k in good}
+    near = {k: [j for j in good if j != k and rows[j][2] == rows[k][2] and len(unit[j]) == len(unit[k]) and unit[j] @ unit[k] >= cosine] for k in good}
     out = []
     for k, row in enumerate(rows):
         seen, stack = {k}, [k]
@@ -92,6 +93,20 @@ def test_links_without_good_hashes(spark, monkeypatch, links):
     assert key(descent.near_vectors(spark.createDataFrame(rows, SCHEMA), recall=1.0).collect()) == key(want)
 
 
+def test_links_of_every_length_and_size(spark):
+    """Lengths that few vectors have, components near the ends of the range, further columns."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(360):
+        v = rng.standard_normal((2, 3, 16)[k % 3] if k % 10 else 5)
+        rows.append((k, (v * (1e300, 1e-300, 1.0)[k % 7 % 3]).tolist(), k % 2))
+    names = ["node", "leader", "vec", "copies", "least", "row", "raw", "code", "table", "bits", "n_links", "kept"]
+    clash = spark.createDataFrame(rows, SCHEMA).select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    want = linked([(i, (np.array(v) / np.abs(v).max()).tolist(), label) for i, v, label in rows])
+    assert sum(w[1] for w in want) > 500
+    assert key(descent.near_vectors(clash).collect()) == key(want)
+
+
 def test_small_tables(spark):
     assert descent.near_vectors(empty(spark, SCHEMA)).count() == 0
     only = descent.near_vectors(spark.createDataFrame([(4, None, None)], SCHEMA)).first()
