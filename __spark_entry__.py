@@ -43,6 +43,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Pairs of vectors in the given table are far apart; at this similarity some are "duplicates".
 SIMILAR = 0.4
+# Rows of a tile where the given vectors are to fill several cells.
+SMALL_TILE = 32
 
 
 # --- inputs --------------------------------------------------------------------------------
@@ -159,14 +161,14 @@ def first_words(spark, sf):
 
 def known_keys_dedup(spark, sf):
     documents = _documents(spark, sf)
-    known = dedup.known_digests(documents.filter("source = 'src0'"))
-    return dedup.exact_dedup(documents.filter("source <> 'src0'"), order="doc_id", known_keys=known)
+    known = dedup.known_digests(documents.filter(F.col("source").eqNullSafe("src0")))
+    return dedup.exact_dedup(documents.filter(~F.col("source").eqNullSafe("src0")), order="doc_id", known_keys=known)
 
 
 def known_keys_stats(spark, sf):
     documents = _documents(spark, sf)
-    known = dedup.known_digests(documents.filter("source = 'src0'"))
-    return dedup.exact_dedup_stats(documents.filter("source <> 'src0'"), known_keys=known)
+    known = dedup.known_digests(documents.filter(F.col("source").eqNullSafe("src0")))
+    return dedup.exact_dedup_stats(documents.filter(~F.col("source").eqNullSafe("src0")), known_keys=known)
 
 
 def row_index(spark, sf):
@@ -193,6 +195,24 @@ def clean_then_dedup_stats(spark, sf):
     )
 
 
+def target_alias(spark, sf):
+    """Documents whose texts stand in a column by one of the usual other names."""
+    questions = _table(spark, sf, "documents").withColumnRenamed("text", "用户问题")
+    kept = clean_then_dedup(questions, order="doc_id").kept
+    return kept.select("row_index", "doc_id", F.col("用户问题").alias("question"))
+
+
+def empty_input(spark, sf):
+    """Rows to remove from clean documents: none. Their counts, and what is read back after writing them."""
+    nothing = cleaning.removed_rows(cleaning.clean(_table(spark, sf, "documents"))).drop("removal_reason")
+    path = _folder(spark, "nothing") + ".csv"
+    io.write_table(nothing, path)
+    result = clean_then_dedup(nothing, order="doc_id")
+    return result.cleaning_stats.select(F.struct("*").alias("c")).join(
+        F.broadcast(result.dedup_stats.select(F.struct("*").alias("d")))
+    ).select("c.*", "d.duplicate_rows", "d.unique_values", F.lit(io.count_rows(io.read_csv(spark, path))).cast("bigint").alias("read_back"))
+
+
 # --- files ---------------------------------------------------------------------------------
 
 
@@ -239,6 +259,28 @@ def row_counts(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
+def csv_row_counts(spark, sf):
+    """Records of written CSV files; line breaks in cells begin none."""
+    counts = []
+    for name in ("documents", "conversations", "pages"):
+        path = _folder(spark, name) + ".csv"
+        io.write_table(_table(spark, sf, name), path)
+        counts.append((name, io.count_rows(io.read_csv(spark, path))))
+    return spark.createDataFrame(counts, "name string, n_rows bigint")
+
+
+def written_matches(spark, sf):
+    """The audit table in two loads; a load without matches leaves what is there."""
+    found = cut_lineage(semantic_dedup(_vectors(spark, sf), threshold=SIMILAR, category="label").matches(), "matches")
+    path = _folder(spark, "matches") + ".csv"
+    same = F.coalesce(F.col("same_label"), F.lit(False))
+    io.write_matches(found.filter(same), path)
+    io.write_matches(found.filter("row_index < duplicate_of_row_index"), path)
+    io.write_matches(found.filter(~same), path, append=True)
+    numbers = [F.col(c).cast("bigint").alias(c) for c in ("row_index", "duplicate_of_row_index", "label", "matched_label")]
+    return io.read_csv(spark, path).select(*numbers, "text", "matched_text", F.round(F.col("similarity").cast("double"), 6).alias("similarity"))
+
+
 def run_metadata(spark, sf):
     words = _words(spark, sf)
     record = io.run_metadata(
@@ -288,6 +330,17 @@ def top_k_neighbors(spark, sf):
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
+def similar_pairs_cells(spark, sf):
+    """Tiles so small that the vectors fall into several cells."""
+    pairs = neighbors.similar_pairs(_vectors(spark, sf), "embedding", SIMILAR, tile=SMALL_TILE)
+    return pairs.withColumn("similarity", F.round("similarity", 6))
+
+
+def top_k_cells(spark, sf):
+    rows = _vectors(spark, sf)
+    return neighbors.top_k_neighbors(rows, rows, 5, tile=SMALL_TILE).withColumn("similarity", F.round("similarity", 6))
+
+
 def encoded_documents(spark, sf):
     """Size and length of the vectors, and how many documents share each one."""
     encoded = cut_lineage(encode(_documents(spark, sf).select("doc_id", "text"), "text").drop("text"), "encoded")
@@ -305,6 +358,12 @@ def semantic_dedup_vectors(spark, sf):
     return semantic_dedup(_vectors(spark, sf), threshold=SIMILAR).kept().select("row_index", "label")
 
 
+def semantic_dedup_cells(spark, sf):
+    """Several cells and many blocks."""
+    found = semantic_dedup(_vectors(spark, sf), threshold=SIMILAR, tile=SMALL_TILE, first_block=4 * SMALL_TILE)
+    return found.kept().select("row_index", "label")
+
+
 def semantic_dedup_approx(spark, sf):
     return semantic_dedup(_vectors(spark, sf), threshold=SIMILAR, index="hnsw").kept().select("row_index", "label")
 
@@ -341,6 +400,12 @@ def semantic_matches_texts(spark, sf):
     return found.select("row_index", "duplicate_of_row_index", "lang", "matched_lang", "same_lang", F.round("similarity", 6).alias("similarity"))
 
 
+def clean_then_semantic_dedup(spark, sf):
+    """Rows without a usable text go first; the others are numbered anew and compared by their vectors."""
+    result = clean_then_dedup(_texts(spark, sf), mode="semantic", threshold=SIMILAR)
+    return result.kept.select("row_index", "lang")
+
+
 def semantic_dedup_two_parts(spark, sf):
     """Two loads, the second one against the representatives of the first."""
     rows = with_row_index(_vectors(spark, sf).withColumnRenamed("row_index", "vec_id"), "label", "vec_id")
@@ -420,6 +485,22 @@ def kmeans_clusters(spark, sf):
     return clustering.kmeans(_vectors(spark, sf), k=8)
 
 
+def _grouped_vectors(spark, sf):
+    """Every vector, small, beside a large axis for its label: groups that nobody can mix up."""
+    axes = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.when(i == F.pmod(F.coalesce("label", F.lit(15)), F.lit(16)), 100.0).otherwise(0.0))
+    unit = V.l2_normalize(F.col("embedding").cast("array<double>"))
+    return _vectors(spark, sf).withColumn("embedding", F.concat(axes, unit))
+
+
+def kmeans_groups(spark, sf):
+    rows = _grouped_vectors(spark, sf)
+    return clustering.kmeans(rows, k=rows.agg(F.countDistinct(F.pmod(F.coalesce("label", F.lit(15)), F.lit(16)))).first()[0])
+
+
+def hdbscan_groups(spark, sf):
+    return density.hdbscan(_grouped_vectors(spark, sf), min_cluster_size=5)
+
+
 def hdbscan_clusters(spark, sf):
     """Documents by wording, density clusters."""
     return cluster_texts(_documents(spark, sf), order="doc_id").rows.select("row_index", "cluster_id")
@@ -434,6 +515,19 @@ def projection(spark, sf):
     return project_3d(_members(spark, sf)).drop("text")
 
 
+def projection_radii(spark, sf):
+    """Three dimensions are turned about their mean: distances to it stay, axes are uncorrelated, the widest first."""
+    rows = _vectors(spark, sf).select("row_index", "text", F.col("label").alias("cluster_id"), F.slice("embedding", 1, 3).alias("embedding"))
+    placed = cut_lineage(project_3d(rows).select("row_index", *[F.col(c).cast("double").alias(c) for c in "xyz"]), "placed")
+    flat = [F.abs(F.corr(a, b)) < 1e-4 for a, b in ("xy", "xz", "yz")]
+    facts = placed.agg(
+        (flat[0] & flat[1] & flat[2]).alias("uncorrelated"),
+        ((F.var_pop("x") >= F.var_pop("y")) & (F.var_pop("y") >= F.var_pop("z"))).alias("falling"),
+    )
+    radius = F.round(F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z")), 3)
+    return placed.select("row_index", radius.alias("radius")).join(F.broadcast(facts))
+
+
 # --- scoring -------------------------------------------------------------------------------
 
 
@@ -565,7 +659,8 @@ _QUERIES: list[Query] = [
     cluster_summary, clustering_stats, cluster_analysis, clustered_rows, normalized_labels, kmeans_clusters,
     hdbscan_clusters, core_distances, projection, prompts, scored_rows, evaluation_stats, clean_stream,
     cleaning_stats_stream, dedup_stream, dedup_stream_state, dedup_stream_watermark, semantic_dedup_stream,
-    semantic_dedup_indexed_stream,
+    semantic_dedup_indexed_stream, target_alias, empty_input, csv_row_counts, written_matches, similar_pairs_cells,
+    top_k_cells, semantic_dedup_cells, clean_then_semantic_dedup, kmeans_groups, hdbscan_groups, projection_radii,
 ]
 
 
@@ -658,6 +753,15 @@ _TEXT_UNITS = f"SELECT id, e FROM (SELECT id, e, row_number() OVER (PARTITION BY
 _FIRST_BLANK = f"(SELECT min(id) FROM {_JOB} WHERE k = '')"
 
 
+_CLEANED = (
+    "SELECT *, row_number() OVER (ORDER BY id) - 1 AS n, row_number() OVER (PARTITION BY k ORDER BY id) AS c "
+    f"FROM {_JOB} WHERE ({_reason('text')}) IS NULL"
+)
+# Labels as clusters, numbered by their first vector.
+_FIRSTS = "SELECT vec_id AS row_index, min(vec_id) OVER (PARTITION BY coalesce(label, 15)) AS first FROM embeddings"
+_GROUP = "dense_rank() OVER (ORDER BY first) - 1"
+
+
 def _tokens(x: str) -> str:
     return f"list_filter(regexp_extract_all({_key(x)}, '[A-Za-z0-9_]+'), lambda t: length(t) >= 2)"
 
@@ -731,11 +835,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT row_index, doc_id, pos, text FROM numbered QUALIFY row_number() OVER (PARTITION BY k ORDER BY row_index) = 1"
         ),
         "known_keys_dedup": (
-            f"WITH {_KEYED} SELECT doc_id, text, lang, source, n_chars FROM keyed WHERE source <> 'src0' AND k NOT IN "
+            f"WITH {_KEYED} SELECT doc_id, text, lang, source, n_chars FROM keyed WHERE source IS DISTINCT FROM 'src0' AND k NOT IN "
             f"(SELECT k FROM keyed WHERE source = 'src0') QUALIFY {first_key}"
         ),
         "known_keys_stats": (
-            f"WITH {_KEYED}, old AS (SELECT DISTINCT k FROM keyed WHERE source = 'src0'), new AS (SELECT k FROM keyed WHERE source <> 'src0'), "
+            f"WITH {_KEYED}, old AS (SELECT DISTINCT k FROM keyed WHERE source = 'src0'), new AS (SELECT k FROM keyed WHERE source IS DISTINCT FROM 'src0'), "
             "kept AS (SELECT count(DISTINCT k) AS n FROM new WHERE k NOT IN (SELECT k FROM old)) "
             "SELECT (SELECT count(*) FROM new) AS total_before, n AS total_after, (SELECT count(*) FROM new) - n AS duplicate_rows, "
             "n + (SELECT count(*) FROM old) AS unique_values, 'text' AS target_column, 'exact' AS dedupe_mode FROM kept"
@@ -757,6 +861,31 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {_REASONS} SELECT 'clean-deduplicate' AS action, 'documents.parquet' AS input_file, 'text' AS target_column, "
             f"count(*) FILTER (reason IS NULL) AS cleaned, count(DISTINCT {_key('text')}) AS unique_values FROM reasons"
         ),
+        "target_alias": (
+            f"WITH cleaned AS (SELECT doc_id, text, {_key('text')} AS k, row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents "
+            f"WHERE ({_reason('text')}) IS NULL) SELECT row_index, doc_id, text AS question FROM cleaned "
+            "QUALIFY row_number() OVER (PARTITION BY k ORDER BY row_index) = 1"
+        ),
+        "empty_input": (
+            f"WITH reasons AS (SELECT {_reason('text')} AS reason FROM (SELECT text FROM documents WHERE ({_reason('text')}) IS NULL) c WHERE ({_reason('text')}) IS NOT NULL) "
+            f"SELECT {_COUNTS}, CAST(0 AS BIGINT) AS duplicate_rows, CAST(0 AS BIGINT) AS unique_values, count(*) AS read_back FROM reasons"
+        ),
+        "csv_row_counts": " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n_rows FROM {n}" for n in ("documents", "conversations", "pages")),
+        "written_matches": (
+            f"WITH {_walk(_VECTOR_ROWS)}, m AS ({matches.format(rows='numbered')}) SELECT row_index, match AS duplicate_of_row_index, "
+            "CAST(row_index AS VARCHAR) AS text, CAST(match AS VARCHAR) AS matched_text, CAST(a.label AS BIGINT) AS label, CAST(b.label AS BIGINT) AS matched_label, "
+            "round(s, 6) AS similarity FROM m JOIN embeddings a ON a.vec_id = row_index JOIN embeddings b ON b.vec_id = match"
+        ),
+        "clean_then_semantic_dedup": (
+            f"WITH {_walk(f'SELECT n AS id, e FROM ({_CLEANED}) WHERE c = 1')} SELECT n AS row_index, lang FROM ({_CLEANED}) WHERE n IN (SELECT id FROM reps)"
+        ),
+        "kmeans_groups": f"SELECT row_index, CAST({_GROUP} AS INTEGER) AS cluster_id FROM ({_FIRSTS})",
+        "hdbscan_groups": f"SELECT row_index, CAST({_GROUP} AS BIGINT) AS cluster_id FROM ({_FIRSTS})",
+        "projection_radii": (
+            "WITH v AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z FROM embeddings), "
+            "m AS (SELECT avg(x) AS mx, avg(y) AS my, avg(z) AS mz FROM v) "
+            "SELECT vec_id AS row_index, round(sqrt((x - mx) ** 2 + (y - my) ** 2 + (z - mz) ** 2), 3) AS radius, true AS uncorrelated, true AS falling FROM v, m"
+        ),
         "normalized_vectors": (
             f"WITH d AS (SELECT vec_id, embedding, sqrt({_dot('embedding', 'embedding')}) AS len FROM embeddings) "
             f"SELECT vec_id, round({_dot('embedding', 'embedding')} / (len * len), 6) AS squared_norm, "
@@ -765,17 +894,17 @@ def oracle_sql() -> dict[str, str]:
         "inner_products": (
             f"SELECT a.vec_id, round({_dot('a.embedding', 'b.embedding')}, 6) AS similarity FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"
         ),
-        **dict.fromkeys(("similar_pairs", "similar_pairs_approx"), (
+        **dict.fromkeys(("similar_pairs", "similar_pairs_approx", "similar_pairs_cells"), (
             f"SELECT a.vec_id AS left_id, b.vec_id AS right_id, round({_cos('a.embedding', 'b.embedding')}, 6) AS similarity "
             f"FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_cos('a.embedding', 'b.embedding')} >= {SIMILAR}"
         )),
-        "top_k_neighbors": (
+        **dict.fromkeys(("top_k_neighbors", "top_k_cells"), (
             f"WITH s AS (SELECT a.vec_id AS query_id, b.vec_id AS match_id, {_cos('a.embedding', 'b.embedding')} AS sim FROM embeddings a, embeddings b), "
             "r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, match_id) AS INTEGER) AS rank FROM s) "
             "SELECT query_id, match_id, round(sim, 6) AS similarity, rank FROM r WHERE rank <= 5"
-        ),
+        )),
         "encoded_documents": "SELECT doc_id, 1024 AS dimensions, CAST(1.0 AS DOUBLE) AS squared_norm, count(*) OVER (PARTITION BY text) AS copies FROM documents",
-        **dict.fromkeys(("semantic_dedup_vectors", "semantic_dedup_approx"), (
+        **dict.fromkeys(("semantic_dedup_vectors", "semantic_dedup_approx", "semantic_dedup_cells"), (
             f"WITH {_walk(_VECTOR_ROWS)} SELECT vec_id AS row_index, label FROM embeddings WHERE vec_id IN (SELECT id FROM reps)"
         )),
         "semantic_matches": (
