@@ -7,9 +7,11 @@
    neighbours of neighbours: everyone who is near one leader is compared with everyone else
    near it. A list holds the ``LIST`` nearest; when it is full of links it grows by all links
    found beyond it.
-3. Sampled leaders are compared with all others of their label, until enough links are seen.
-   While the graph lacks links that the sample finds, new hashes and rounds are added; if it
-   still does after the last set of hashes, all leaders of a label are compared.
+3. An audit asks how many links the graph holds. Drawn leaders have a planted twin each, in a
+   random direction and just within the link angle, where links are hardest to find; a few more
+   leaders are compared with all others of their label. While the graph lacks such links, new
+   hashes and rounds are added, as many as lone pairs need to meet by their hashes alone. Only
+   if links are still lacking then, all leaders of a label are compared.
 4. Edges within reach are settled: two balls are linked as a whole where the angles prove it,
    otherwise their members are compared. Links are counted, components joined.
 """
@@ -20,7 +22,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -38,10 +39,10 @@ TABLES, BUCKET = 6, 64
 #: Most rows compared with each other in one group; larger ones are cut into tiles, and every two
 #: tiles meet. Balls are looked for within parts of that size: that loses no link.
 GROUP = 1024
-#: Sets of tables before all are compared, leaders of the first audit, recall asked.
+#: Least sets of tables before all are compared, leaders that an audit compares with all others, recall asked.
 SETS, AUDIT, RECALL = 4, 256, 0.999
-#: Links an audit has to see for each doubling of the number of leaders.
-LINKS = 250
+#: Most planted twins, and the largest share of the leaders that get one.
+PLANTED, PLANTED_SHARE = 4096, 0.25
 #: Leaders of one side of a group where all are compared, and rows compared at a time.
 TILE, STEP = 4096, 512
 #: Places of the leaders in the order in which audits draw them.
@@ -300,27 +301,79 @@ def exact_edges(leaders: DataFrame, angle: float, asked: Column) -> DataFrame:
     return _grouped(both, ["label", "i", "j"], compare, "a bigint, b bigint, cosine double")
 
 
-def audit(leaders: DataFrame, lists: DataFrame, angle: float, attempt: int) -> tuple[float, DataFrame | None]:
-    """Share of the links of sampled leaders that the lists hold; all links, if all were compared.
+def every_edge(leaders: DataFrame, angle: float) -> DataFrame:
+    """All links of all leaders: the way left where the graph misses links after its last set of tables."""
+    return cut_lineage(exact_edges(leaders, angle, F.lit(True)), "all-links")
 
-    Leaders are drawn until ``LINKS`` links are seen for each doubling of their number. Where that
-    takes more than a quarter of them, all are compared.
+
+def twins(leaders: DataFrame, rows: int, angle: float) -> DataFrame:
+    """``node, label, vec, radius``: twins of drawn leaders, just within the angle in a random direction.
+
+    The twin of ``node`` is ``-1 - node``. A vector of one component has no direction to go.
+    """
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside = max(0.0, angle - 1e-6)
+        for batch in _even(batches):
+            vectors, nodes = matrix_of(batch.column("vec")), batch.column("node").to_numpy()
+            if not len(nodes) or vectors.shape[1] < 2:
+                continue
+            aside = np.stack([np.random.default_rng(int(n)).standard_normal(vectors.shape[1]) for n in nodes])
+            aside = unit_rows(aside - (aside * vectors).sum(axis=1)[:, None] * vectors)
+            turned = unit_rows(math.cos(inside) * vectors + math.sin(inside) * aside)
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * vectors.shape[1]), pa.array(turned.ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(-1 - nodes), batch.column("label"), flat, pa.array(np.zeros(len(nodes)))], names=["node", "label", "vec", "radius"]
+            )
+
+    last = math.ceil(PLACES * min(PLANTED_SHARE, PLANTED / max(rows, 1)))
+    drawn = leaders.filter(F.pmod(F.xxhash64("node", F.lit(10)), F.lit(PLACES)) < last)
+    return drawn.select("node", "label", "vec").mapInArrow(turn, "node bigint, label string, vec array<double>, radius double")
+
+
+def audit(leaders: DataFrame, planted: DataFrame, lists: DataFrame, rows: int, angle: float, attempt: int) -> tuple[float, DataFrame]:
+    """The smaller share that the lists hold of the planted links and of those of drawn leaders, and the latter.
+
+    Planted links show what the graph does where true links are rare, true ones what it does where
+    they are many.
     """
-    rows = max(1, leaders.count())
-    wanted = LINKS * math.ceil(math.log2(rows + 1))
     place = F.pmod(F.xxhash64("node", F.lit(11 + attempt)), F.lit(PLACES))
-    drawn, last, total, true = 0, math.ceil(PLACES * AUDIT / rows), 0, None
-    while total < wanted and drawn < PLACES:
-        last = last if last <= PLACES // 4 else PLACES
-        more = cut_lineage(exact_edges(leaders, angle, (place >= drawn) & (place < last)), "audit")
-        true = more if true is None else true.unionByName(more)
-        drawn, total = last, true.count()
-        # By the links seen so far, but at most eight times as many.
-        last = math.ceil(last * min(8, max(2, 1.2 * wanted / max(total, 1))))
-    asked = true.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    held = lists.filter("link").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    share = asked.join(held, ["a", "b"], "left_semi").count() / total if total else 1.0
-    return share, true if drawn == PLACES else None
+    true = cut_lineage(exact_edges(leaders, angle, place < math.ceil(PLACES * AUDIT / max(rows, 1))), "audit")
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    asked = true.select(*ends, F.lit(0).alias("kind")).distinct().unionByName(
+        planted.select(F.col("node").alias("a"), (-1 - F.col("node")).alias("b"), F.lit(1).alias("kind"))
+    )
+    held = lists.filter("link").select(*ends).distinct().withColumn("held", F.lit(1))
+    shares = asked.join(held, ["a", "b"], "left").groupBy("kind").agg((F.count("held") / F.count(F.lit(1))).alias("share"))
+    return min((r["share"] for r in shares.collect()), default=1.0), true
+
+
+def attempts(bits: DataFrame, angle: float, recall: float) -> int:
+    """Sets of tables after which two leaders at the angle have met in a bucket with the recall asked for."""
+    most = bits.agg(F.max("bits")).first()[0] or 1
+    same = min(1.0 - 1e-9, (1 - angle / math.pi) ** most)
+    return max(SETS, math.ceil(math.log(1 - recall) / math.log1p(-same) / TABLES))
+
+
+def searched(leaders: DataFrame, bits: DataFrame, rows: int, angle: float, recall: float) -> DataFrame:
+    """``a, b, cosine, link``: the lists of the leaders once an audit finds the recall in them."""
+    planted = cut_lineage(twins(leaders, rows, angle), "planted")
+    field = cut_lineage(leaders.select("node", "label", "vec", "radius").unionByName(planted), "planted-leaders")
+    lists = None
+    for attempt in range(attempts(bits, angle, recall)):
+        tables = list(range(200 + attempt * TABLES, 200 + (attempt + 1) * TABLES))
+        found = first_edges(field, angle, bits, tables).withColumn("old", F.lit(False))
+        if lists is not None:
+            found = lists.withColumn("old", F.lit(True)).unionByName(found)
+        lists = cut_lineage(merged_lists(found), "neighbour-lists")
+        fresh = 1
+        while fresh:
+            lists, fresh = descend(field, lists, angle)
+        share, true = audit(leaders, planted, lists, rows, angle, attempt)
+        if share >= recall:
+            own = lists.filter("a >= 0 and b >= 0").select("a", "b", "cosine", "link")
+            return own.unionByName(true.withColumn("link", F.lit(True)))
+    return every_edge(leaders, angle).withColumn("link", F.lit(True))
 
 
 # --- settling ------------------------------------------------------------------------------
@@ -382,7 +435,8 @@ def near_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
                  recall: float = RECALL) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row.
 
-    Two rows are linked if their labels are equal and not null and their cosine, in double
+    At least the share ``recall`` of the links is found, by an audit; with 1 all rows of a label
+    are compared, as no audit can prove that. Two rows are linked if their labels are equal and not null and their cosine, in double
     precision, is at least ``cosine``; vectors of different lengths are not. ``n_links`` counts the other rows linked, copies
     included; ``component_id`` is the smallest id reachable; ``kept`` marks the row with that
     id. Vectors that ``finite_vectors`` rules out and rows without a label have no links and are
@@ -425,23 +479,10 @@ def near_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
     leaders = cut_lineage(
         state.filter("node = leader").select("node", "label", "vec").join(sizes.withColumnRenamed("leader", "node"), "node"), "leaders"
     )
-    lists = None
-    for attempt in range(SETS):
-        tables = list(range(200 + attempt * TABLES, 200 + (attempt + 1) * TABLES))
-        found = first_edges(leaders, angle, bits, tables).withColumn("old", F.lit(False))
-        if lists is not None:
-            found = lists.withColumn("old", F.lit(True)).unionByName(found)
-        lists = cut_lineage(merged_lists(found), "neighbour-lists")
-        fresh = 1
-        while fresh:
-            lists, fresh = descend(leaders, lists, angle)
-        share, every = audit(leaders, lists, angle, attempt)
-        if every is not None or share >= recall:
-            break
+    if recall < 1:
+        lists = searched(leaders, bits, led, angle, recall)
     else:
-        every = cut_lineage(exact_edges(leaders, angle, F.lit(True)), "all-links")
-    if every is not None:
-        lists = every.withColumn("link", F.lit(True))
+        lists = every_edge(leaders, angle).withColumn("link", F.lit(True))
     links, edges = settled(leaders, members, lists, cosine)
     joined = components(edges).withColumnRenamed("id", "leader")
     rooted = cut_lineage(leaders.select(F.col("node").alias("leader"), "rows", "first").join(joined, "leader", "left").withColumn("root", F.coalesce("label", "leader")), "roots")

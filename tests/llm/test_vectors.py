@@ -93,6 +93,29 @@ def test_links_without_good_hashes(spark, monkeypatch, links):
     assert key(descent.near_vectors(spark.createDataFrame(rows, SCHEMA), recall=1.0).collect()) == key(want)
 
 
+@pytest.mark.parametrize("kind", ["poor", "rich"])
+def test_links_by_descent(spark, monkeypatch, kind):
+    """The graph answers, where few vectors have a link and where most have many."""
+
+    def never(*_):
+        raise AssertionError("all pairs were compared")
+
+    monkeypatch.setattr(descent, "every_edge", never)
+    rng = np.random.default_rng(12)
+    if kind == "poor":
+        matrix = rng.standard_normal((20000, 32))
+        matrix[-40:] = matrix[:40] + 0.3 * rng.standard_normal((40, 32))
+    else:
+        matrix = rng.standard_normal((2000, 32))[rng.integers(0, 2000, 20000)] + 0.25 * rng.standard_normal((20000, 32))
+    unit = matrix / np.linalg.norm(matrix, axis=1)[:, None]
+    want = np.concatenate([(unit[k : k + 2000] @ unit.T >= 0.93).sum(axis=1) - 1 for k in range(0, 20000, 2000)])
+    assert (want.sum() < 100) if kind == "poor" else (want.sum() > 50000)
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(matrix)], SCHEMA)
+    got = {r.vec_id: r.n_links for r in descent.near_vectors(df).select("vec_id", "n_links").collect()}
+    assert all(got[k] <= n for k, n in enumerate(want))
+    assert sum(got.values()) >= 0.999 * want.sum()
+
+
 def test_links_of_every_length_and_size(spark):
     """Lengths that few vectors have, components near the ends of the range, further columns."""
     rng = np.random.default_rng(6)
