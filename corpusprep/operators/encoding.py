@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.operators.rows import column, once_per_worker
+from corpusprep.operators.rows import column, cut_lineage, once_per_worker
 
 # Called once per worker and name; returns the function that turns texts into vectors.
 EncoderFactory = Callable[[], Callable[[list[str]], np.ndarray]]
@@ -61,11 +61,11 @@ def _char_ngrams(df: DataFrame, text: str, name: str, dimensions: int) -> DataFr
     chars = F.split(F.concat(F.lit(" "), column(text), F.lit(" ")), "")
     grams = NGram(n=3, inputCol="__chars", outputCol="__grams").transform(df.withColumn("__chars", chars))
     counted = HashingTF(numFeatures=dimensions, inputCol="__grams", outputCol="__counts").transform(grams)
-    # One pass over all rows; a vector of document counts reaches the driver.
+    # Trigrams are counted once: the counts are read again, short, for the weights and the vectors.
+    counted = cut_lineage(counted.select(*(column(c) for c in df.columns), "__counts"), "trigram-counts")
+    # A vector of document counts reaches the driver.
     if counted.isEmpty():
         return df.withColumn(name, F.lit(None).cast("array<float>"))
     weighted = IDF(inputCol="__counts", outputCol="__weighted").fit(counted).transform(counted)
     scaled = Normalizer(p=2.0, inputCol="__weighted", outputCol="__unit").transform(weighted)
-    return scaled.withColumn(name, vector_to_array("__unit", "float32")).drop(
-        "__chars", "__grams", "__counts", "__weighted", "__unit"
-    )
+    return scaled.withColumn(name, vector_to_array("__unit", "float32")).drop("__counts", "__weighted", "__unit")
