@@ -142,12 +142,12 @@ def secret_spans(text: str) -> list[tuple[int, int, int, float]]:
     if named and any(name in low for name in _ASSIGN_NAMES):
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= ASSIGN_LEAST:
-                found.append((m.start(), 0, m.end(), guess_cost(m[2][:256])))
+                found.append((m.start(), 0, m.end(), guess_cost(m[2])))
     for m in ACCESS.finditer(text):
         if m.end() - m.start() >= ACCESS_LEAST:
-            found.append((m.start(), 1, m.end(), guess_cost(m[0][:256])))
+            found.append((m.start(), 1, m.end(), guess_cost(m[0])))
     for m in HEX.finditer(text):
-        found.append((m.start(), 2, m.end(), guess_cost(m[0][:256])))
+        found.append((m.start(), 2, m.end(), guess_cost(m[0])))
     if named:
         taken = sorted((start, end) for start, _, end, _ in found)
         for m in CONTEXT.finditer(text):

@@ -46,6 +46,13 @@ def test_long_values_are_found_whole(spark):
     assert secrets.redact(docs).first().text == "auth=[secret] end"
 
 
+def test_costs_are_those_of_whole_values():
+    tail = "x7Kq9Zw2" * 50
+    for text, value in (("token=" + "xy" * 128 + tail, "xy" * 128 + tail), ("AKIA" + "Q7Z" * 200, "AKIA" + "Q7Z" * 200), ("0f3a" * 200, "0f3a" * 200)):
+        (span,) = secrets.secret_spans(text)
+        assert (span[0], span[2]) == (0, len(text)) and abs(span[3] - secrets.guess_cost(value)) < 1e-9
+
+
 def test_values_longer_than_a_base_find(spark):
     text = "password=Summer2024abc!Xy7#pQ9z and token=abcdefghijkl0 on"
     assert [(k, text[a:b]) for a, k, b, _ in secrets.secret_spans(text)] == [
