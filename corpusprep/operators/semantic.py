@@ -20,6 +20,7 @@ from corpusprep.operators.neighbors import (
     TILE_ROWS,
     PivotCells,
     SignBands,
+    cells_for_recall,
     check_threshold,
     has_lower,
     improving,
@@ -345,7 +346,8 @@ def semantic_dedup(
         earlier = known.filter("key <> ''").select(F.col("row_index").alias("id"), "vec")
         earlier_rows = earlier.count()
     if cells is None and index == "hnsw":
-        cells = SignBands.for_recall(threshold, rows=max(unit_rows, earlier_rows))
+        larger = earlier if earlier_rows > unit_rows else units
+        cells = cells_for_recall(larger, max(unit_rows, earlier_rows), threshold, tile=tile)
     elif cells is None and earlier_rows > unit_rows:
         cells = PivotCells.choose(earlier, earlier_rows, tile)
     elif cells is None:

@@ -272,6 +272,28 @@ def test_tiles_follow_their_own_tables(spark):
     assert len(met) <= 10 and sum(r.left for r in met) == 400 and {r.right for r in met} == {10}
 
 
+def test_cells_share_groups(spark):
+    """Many small cells: each pair meets once, in few groups, and a vector is copied for groups only."""
+    matrix = unit(np.random.default_rng(11).standard_normal((1500, 16)))
+    df = N.vector_table(table(spark, matrix), "embedding", "row_index")
+    cells = N.PivotCells.choose(df, len(matrix), tile=16)
+    assert len(cells.pivots) == 46
+    met = N.tile_join(
+        df, df, cells, math.acos(0.2), lambda b, p, c: [np.array([len(b["id"])]), np.array([len(p["id"])])], "left bigint, right bigint", len(matrix), 16
+    ).collect()
+    assert len(met) <= 200 and sum(r.left + r.right for r in met) <= 40 * len(matrix)
+    pairs = N.tile_join(df, df, cells, math.acos(0.2), N.lower_pairs(0.2), "a bigint, b bigint, s double", len(matrix), 16)
+    got = [(r.a, r.b) for r in pairs.collect()]
+    left, right = np.nonzero(np.triu(matrix @ matrix.T >= 0.2, 1))
+    assert len(got) == len(set(got)) and set(got) == set(zip(left.tolist(), right.tolist()))
+
+
+def test_bands_are_used_where_they_pay(spark):
+    df = N.vector_table(table(spark, unit(np.random.default_rng(12).standard_normal((40, 4)))), "embedding", "row_index")
+    assert isinstance(N.cells_for_recall(df, 1 << 20, 0.9), N.SignBands)
+    assert isinstance(N.cells_for_recall(df, 100_000, 0.4, 0.9999), N.PivotCells)
+
+
 def test_every_dropped_row_has_its_match(spark):
     matrix = unit(np.random.default_rng(10).standard_normal((50, 7)))
     known = spark.createDataFrame([(k, f"t{k}", None, v.tolist()) for k, v in enumerate(matrix)], "row_index bigint, key string, category string, vec array<double>")
