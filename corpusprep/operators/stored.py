@@ -9,6 +9,7 @@ batch meets only the cells it touches.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from corpusprep.operators.rows import cut_lineage
 BUCKETS = 32
 #: Distinct keys of a batch up to which buckets and files without them are not read.
 LISTED = 2000
+#: Bands from which an index must pay to be one of bands, and representatives of a shard of the others.
+MANY_BANDS, SHARD_ROWS = 64, 1024
 #: Batches after which older ones are merged.
 MERGE_EVERY = 16
 
@@ -104,6 +107,19 @@ class _Given:
         return base, probe
 
 
+@dataclass(frozen=True)
+class _Shards:
+    """Cells for an index whose bands would not pay: a representative lies in one, a row meets all."""
+
+    count: int
+
+    def stored(self, table: DataFrame) -> DataFrame:
+        return table.withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(self.count)).cast("bigint"))
+
+    def touched(self, table: DataFrame) -> DataFrame:
+        return table.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(self.count - 1)).cast("array<bigint>")))
+
+
 def _meets(threshold: float):
     """Ids of base rows with a similar probe row."""
 
@@ -118,13 +134,17 @@ class RepresentativeIndex:
 
     Vectors lie in ``cells.bands`` cells each; two at the threshold share one with probability
     ``recall``. ``rows`` is how many representatives are expected: it sets the bits of a cell.
-    With far more of them cells grow; those beyond ``tile`` rows are cut into tiles.
+    With far more of them cells grow; those beyond ``tile`` rows are cut into tiles. Where storing
+    every vector once a band is dearer than comparing all, vectors lie once, in a shard by their id,
+    a batch meets all shards, and no similar representative is missed.
     """
 
     def __init__(self, folder: str, threshold: float, recall: float = 0.95, rows: int = 1 << 20, buckets: int = BUCKETS,
                  category: str = "string", tile: int = TILE_ROWS):
         self.threshold, self.tile = threshold, tile
-        self.cells = SignBands.for_recall(threshold, recall, rows)
+        self.cells: SignBands | _Shards = SignBands.for_recall(threshold, recall, rows)
+        if self.cells.bands > MANY_BANDS and not self.cells.pays(rows):
+            self.cells = _Shards(max(1, min(buckets, rows // SHARD_ROWS)))
         self.bands = BucketTable(f"{folder}/bands", "cell BIGINT, id BIGINT, vec ARRAY<DOUBLE>", "cell", buckets)
         self.sizes = BucketTable(f"{folder}/sizes", "cell BIGINT, n BIGINT", "cell", buckets)
         self.keys = BucketTable(f"{folder}/keys", "digest BINARY, row_index BIGINT", "digest", buckets)
@@ -136,7 +156,7 @@ class RepresentativeIndex:
         rows = representatives.withColumn("vec", F.col("vec").cast("array<double>"))
         self.facts.write(rows, batch)
         self.keys.write(rows.select(key_digest(F.col("key")).alias("digest"), "row_index"), batch)
-        placed = cut_lineage(self.cells._banded(rows.filter("vec IS NOT NULL").select(F.col("row_index").alias("id"), "vec")), "bands")
+        placed = cut_lineage(self.cells.stored(rows.filter("vec IS NOT NULL").select(F.col("row_index").alias("id"), "vec")), "bands")
         self.bands.write(placed, batch)
         self.sizes.write(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), batch)
         for part in self.parts:
@@ -150,7 +170,10 @@ class RepresentativeIndex:
         The stored side is neither shuffled nor copied, but for cells of more than ``tile`` rows.
         """
         spark = probe.sparkSession
-        placed = cut_lineage(self.cells._banded(probe.select("id", F.col("vec").cast("array<double>").alias("vec"))), "touched-cells")
+        vectors = probe.select("id", F.col("vec").cast("array<double>").alias("vec"))
+        # In shards the vectors are written once; their copies are made as they are read.
+        banded = isinstance(self.cells, SignBands)
+        placed = cut_lineage(self.cells.touched(vectors), "touched-cells") if banded else self.cells.touched(cut_lineage(vectors, "touching"))
         stored = self.bands.touched(self.bands.before(spark, batch), placed)
         counts = self.sizes.touched(self.sizes.before(spark, batch), placed).groupBy("cell").agg(F.sum("n").alias("n"))
         probes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))

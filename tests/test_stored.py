@@ -104,3 +104,18 @@ def test_indexed_stream_equals_one_run(spark, tmp_path):
     columns = ["row_index", "duplicate_of_row_index", "text", "matched_text", "category", "matched_category"]
     assert sorted(map(tuple, sink.matches(spark).select(*columns).collect())) == sorted(map(tuple, want.matches().select(*columns).collect()))
     assert sink.representatives(spark).count() == want.kept().count()
+
+
+def test_shards_where_bands_do_not_pay(spark, tmp_path):
+    """At a recall near 1 and a low threshold a vector lies in the index once, and nothing is missed."""
+    matrix = np.random.default_rng(4).standard_normal((60, 12))
+    index = stored.RepresentativeIndex(str(tmp_path / "index"), 0.4, 1 - 1e-9, 100_000, 3)
+    rows = table(spark, matrix).select("row_index", F.concat(F.lit("t"), "row_index").alias("key"), F.lit(None).cast("string").alias("category"), F.col("embedding").alias("vec"))
+    index.add(rows.filter("row_index < 30"), 0)
+    held = index.bands.before(spark, 1)
+    assert held.count() == 30 and held.select("cell").distinct().count() == 3
+    probe = rows.filter("row_index >= 30").select(F.col("row_index").alias("id"), "vec")
+    unit = matrix / np.linalg.norm(matrix, axis=1)[:, None]
+    near = (unit[:30] @ unit[30:].T >= 0.4).any(axis=1)
+    assert 0 < near.sum() < 30
+    assert sorted(r.id for r in index.similar_ids(probe, 1).collect()) == np.flatnonzero(near).tolist()
