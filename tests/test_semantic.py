@@ -294,6 +294,13 @@ def test_bands_are_used_where_they_pay(spark):
     assert isinstance(N.cells_for_recall(df, 100_000, 0.4, 0.9999), N.PivotCells)
 
 
+def test_approximate_pairs_come_once(spark):
+    """Rows that come twice, compared in exact cells."""
+    df = table(spark, unit(np.array([[1.0, 0.0], [0.9, 0.1], [0.0, 1.0]])))
+    found = N.similar_pairs_approx(df.unionByName(df), "embedding", 0.9, recall=0.9999).filter("left_id < right_id")
+    assert [(r.left_id, r.right_id) for r in found.collect()] == [(0, 1)]
+
+
 def test_every_dropped_row_has_its_match(spark):
     matrix = unit(np.random.default_rng(10).standard_normal((50, 7)))
     known = spark.createDataFrame([(k, f"t{k}", None, v.tolist()) for k, v in enumerate(matrix)], "row_index bigint, key string, category string, vec array<double>")
