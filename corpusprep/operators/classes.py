@@ -56,13 +56,16 @@ def _between_classes(threshold: float) -> Reducer:
     full = math.acos(threshold)
 
     def reduce(base, probe, cosines):
-        radii = base["radius"][None, :] + probe["radius"][:, None]
+        # Angles are taken only where the widest classes could meet.
+        widest = min(math.pi, full + base["radius"].max() + probe["radius"].max() + 2 * MARGIN)
+        row, col = np.nonzero((cosines >= math.cos(widest) - 1e-12) & (base["id"][None, :] < probe["id"][:, None]))
+        cosines = cosines[row, col]
+        radii = base["radius"][col] + probe["radius"][row]
         angles = _angles(cosines)
         alone = radii == 0
         whole = np.where(alone, cosines >= threshold, angles + radii <= full - MARGIN)
-        met = (whole | (~alone & (angles <= full + radii + MARGIN))) & (base["id"][None, :] < probe["id"][:, None])
-        row, col = np.nonzero(met)
-        return [base["id"][col], probe["id"][row], whole[row, col].astype(np.int64)]
+        met = whole | (~alone & (angles <= full + radii + MARGIN))
+        return [base["id"][col[met]], probe["id"][row[met]], whole[met].astype(np.int64)]
 
     return reduce
 

@@ -29,7 +29,7 @@ from corpusprep.operators.neighbors import (
 from corpusprep.operators.rows import column, cut_lineage, resolve_target_column, target_value
 from corpusprep.operators.skew import hot_join
 
-FIRST_BLOCK = 1 << 15
+FIRST_BLOCK = 1 << 17
 MAX_BLOCK = 1 << 22
 #: Ranges of ids that are counted at a time to find where a block ends.
 BUCKETS = 4096

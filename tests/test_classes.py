@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from corpusprep.operators import neighbors as N
 from corpusprep.operators.classes import similar_classes
 
 SCHEMA = "row_index bigint, embedding array<double>"
@@ -65,3 +66,21 @@ def test_odd_vectors(spark):
 def test_no_rows(spark):
     found = similar_classes(spark.createDataFrame([], SCHEMA), "embedding", 0.9)
     assert found.members.count() == found.link_counts().count() == found.row_pairs.count() == 0
+
+
+def test_groups_grow_with_the_rows():
+    """Up to 2.4 million vectors of 64 components, copies of a vector stay as few as for a tenth of them."""
+    rows = 2_461_536
+    parts = [N._parts(n, n, N.TILE_ROWS, N.GROUP_BYTES // (8 * 64)) for n in (rows // 60, rows // 6, rows)]
+    assert parts[0] <= 6 and parts[1] <= 6 and parts[2] <= 10
+
+
+def test_steps_of_similarity(spark):
+    rng = np.random.default_rng(8)
+    cosines = rng.uniform(-1, 1, (40, 60))
+    cosines[:, 20:50] = np.minimum(cosines[:, 20:50], 0.7)
+    base, probe = {"id": np.arange(60)}, {"id": np.arange(100, 140)}
+    got = {(int(p), int(b)) for p, b, _ in zip(*N.improving(0.8)(base, probe, cosines))}
+    want = {(100 + r, c) for r in range(40) for c in range(60) if cosines[r, c] >= 0.8 and cosines[r, c] > max(cosines[r, :c], default=-2)}
+    assert got == want
+    assert [len(x) for x in N.improving(0.99)(base, probe, np.zeros((40, 60)))] == [0, 0, 0]
