@@ -72,8 +72,8 @@ def removal_reason(value: Column) -> Column:
     """
     text = cell_text(value)
     return (
-        F.when(is_blank(text), "blank")
-        .when(text.rlike(_READABLE), F.lit(None).cast("string"))
+        F.when(raw_text(value).rlike(_READABLE), F.lit(None).cast("string"))
+        .when(is_blank(text), "blank")
         .when(is_emoji_only(text), "emoji")
         .when(is_garbled_only(text), "garbled")
         .when(is_symbol_only(text), "symbol")
@@ -131,8 +131,12 @@ def collapse_spaces(text: Column) -> Column:
 
 
 def dedup_key(value: Column) -> Column:
-    """The form under which two texts count as equal: stripped, single-spaced, case-folded."""
-    return casefold(collapse_spaces(cell_text(value)))
+    """The form under which two texts count as equal: stripped, single-spaced, case-folded.
+
+    ASCII without white space and control characters needs no more than small letters.
+    """
+    text = raw_text(value)
+    return F.when(~text.rlike("[^!-~]"), F.lower(text)).otherwise(casefold(collapse_spaces(cell_text(value))))
 
 
 def key_digest(key: Column) -> Column:
@@ -140,6 +144,14 @@ def key_digest(key: Column) -> Column:
     return F.unhex(F.sha2(key, 256))
 
 
+def short_digest(key: Column) -> Column:
+    """A key itself if it has less than 32 bytes, else its digest, which has 32.
+
+    Not for tables that are kept: these hold ``key_digest``.
+    """
+    return F.when(F.octet_length(key) < 32, key.cast("binary")).otherwise(key_digest(key))
+
+
 def keyword_tokens(value: Column) -> Column:
     """Keyword candidates of a text, with repeats.
 

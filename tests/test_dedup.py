@@ -2,9 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corpusprep.functions.text import dedup_key, short_digest
 from corpusprep.operators import dedup as D
 from corpusprep.operators.rows import cut_lineage, with_row_index
 from corpusprep.plans.clean_dedup import clean_then_dedup
@@ -95,3 +97,35 @@ def test_clean_then_semantic(spark):
     assert result.cleaning_stats.first().removed_symbol_rows == 1
     with pytest.raises(ValueError):
         clean_then_dedup(df, mode="fuzzy")
+
+
+def test_numbered_rows_are_reduced_before_they_move(spark):
+    rng = random.Random(3)
+    values = [rng.choice([None, "", " ", "ß", "SS", "long " * 20, *(f"T{i % 40}" for i in range(60))]) for _ in range(4000)]
+    df = with_row_index(texts(spark, values).withColumnRenamed("row_index", "n"), "n").repartition(3)
+    want = sorted(map(tuple, D.exact_dedup(df).collect()))
+    assert sorted(map(tuple, D.exact_dedup(df, numbered=True).collect())) == want
+    known = D.known_digests(texts(spark, ["t1", "long " * 20]))
+    left = sorted(map(tuple, D.exact_dedup(df, known_keys=known, numbered=True).collect()))
+    assert left == sorted(map(tuple, D.exact_dedup(df, known_keys=known).collect())) and len(left) == len(want) - 2
+    # A row per key and task: each row is shuffled to its number otherwise.
+    batch = pa.RecordBatch.from_pydict({"__one": [5, 5, 7, 6], "__two": [1, 1, 1, 2], "__row": [3, 2, 4, 9]})
+    later = pa.RecordBatch.from_pydict({"__one": [5, 7, 5], "__two": [1, 1, 1], "__row": [8, 1, 1]})
+    early, late = (b.column("__row").to_pylist() for b in D._first_of_task(iter([batch, later])))
+    assert early == [2, 4, 9] and late == [1, 1]
+
+
+def test_positions_are_not_written(spark, monkeypatch):
+    from corpusprep.operators import rows as R
+
+    written = []
+    monkeypatch.setattr(R, "cut_lineage", lambda df, name="table": written.append(df.columns) or cut_lineage(df, name))
+    got = R.with_row_index(texts(spark, list("abc")).withColumnRenamed("row_index", "n"), F.desc("n"))
+    assert sorted((r.n, r.row_index) for r in got.collect()) == [(0, 2), (1, 1), (2, 0)]
+    assert written == [["n", "text", "__part"]]
+
+
+def test_stats_move_short_keys_and_no_texts(spark):
+    df = texts(spark, ["a", "A", "b" * 31, "b" * 32, "B" * 32, "é" * 20, "", None])
+    assert list(D.exact_dedup_stats(df).first())[:4] == [8, 5, 3, 5]
+    assert sorted(r.n for r in df.select(F.octet_length(short_digest(dedup_key(F.col("text")))).alias("n")).collect()) == [0, 0, 1, 1, 31, 32, 32, 32]
