@@ -44,7 +44,7 @@ def clean_then_dedup(
         cleaned = with_row_index(usable, order)
     if mode == "exact":
         known = options.get("known_keys")
-        kept = exact_dedup(cleaned, target, **options)
+        kept = exact_dedup(cleaned, target, numbered=True, **options)
         return CleanDedup(cleaned, kept, stats, exact_dedup_stats(cleaned, target, known))
     semantic = semantic_dedup(cleaned, target, order="row_index", **options)
     return CleanDedup(cleaned, semantic.kept(), stats, semantic.stats(), semantic)
