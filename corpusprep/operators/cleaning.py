@@ -26,14 +26,18 @@ def removed_rows(df: DataFrame, target: str = "text") -> DataFrame:
     return with_removal_reason(df, target).filter(F.col("removal_reason").isNotNull())
 
 
-def counters(reason: Column) -> list[Column]:
-    """The counts over a column of reasons, as aggregates."""
-    kept = F.count_if(reason.isNull())
-    total = F.count(F.lit(1))
+def counters(reason: Column, rows: Column | None = None) -> list[Column]:
+    """The counts over a column of reasons, as aggregates; ``rows`` says how many rows one stands for."""
+
+    def count(which: Column) -> Column:
+        return F.count_if(which) if rows is None else F.coalesce(F.sum(F.when(which, rows)), F.lit(0))
+
+    kept = count(reason.isNull())
+    total = count(F.lit(True))
     return [
         total.alias("total_before"),
         kept.alias("total_after"),
-        *(F.count_if(F.coalesce(reason == why, F.lit(False))).alias(f"removed_{why}_rows") for why in REASONS),
+        *(count(F.coalesce(reason == why, F.lit(False))).alias(f"removed_{why}_rows") for why in REASONS),
         (total - kept).alias("total_removed"),
     ]
 

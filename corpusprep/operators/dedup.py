@@ -9,11 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.functions.text import dedup_key, key_digest, short_digest
+from corpusprep.functions.text import dedup_key, key_digest, raw_text, short_digest
 from corpusprep.operators.rows import column, resolve_target_column, target_value
 
 #: Keys that a task remembers (24 bytes each); others are passed on again.
 TASK_KEYS = 1 << 20
+#: Texts below this are no longer than the digest of their key.
+SHORT_BYTES = 32
 
 
 def first_rows(df: DataFrame, target: str = "text", order: str = "row_index") -> DataFrame:
@@ -92,6 +94,20 @@ def known_digests(df: DataFrame, target: str = "text") -> DataFrame:
     return df.select(key_digest(dedup_key(target_value(df, target))).alias("digest")).distinct()
 
 
+def counted_texts(df: DataFrame, target: str = "text", known_keys: DataFrame | None = None, *by: str) -> DataFrame:
+    """``text, digest, rows``, and the columns ``by``: how often each text occurs.
+
+    A short text stands as it is, one of ``SHORT_BYTES`` or more as the digest of its key, so
+    that no long text is shuffled and only one row of each short one gets its key.
+    """
+    make = short_digest if known_keys is None else key_digest
+    text, short = F.col("__text"), F.octet_length("__text") < SHORT_BYTES
+    texts = df.select(*by, raw_text(target_value(df, target)).alias("__text")).select(
+        *by, F.when(short, text).alias("text"), F.when(~short, make(dedup_key(text))).alias("digest")
+    )
+    return texts.groupBy("text", "digest", *by).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def exact_dedup_stats(
     df: DataFrame, target: str = "text", known_keys: DataFrame | None = None
 ) -> DataFrame:
@@ -99,9 +115,14 @@ def exact_dedup_stats(
 
     ``unique_values`` counts the known keys too, as one running set would.
     """
-    digest = short_digest if known_keys is None else key_digest
-    keyed = df.select(dedup_key(target_value(df, target)).alias("key")).select(digest(F.col("key")).alias("digest"))
-    groups = keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"))
+    return counted_stats(counted_texts(df, target, known_keys), resolve_target_column(df, target), known_keys)
+
+
+def counted_stats(counted: DataFrame, name: str, known_keys: DataFrame | None = None) -> DataFrame:
+    """``exact_dedup_stats`` of the rows that ``counted_texts`` counted in the column ``name``."""
+    make = short_digest if known_keys is None else key_digest
+    keyed = counted.select(F.coalesce("digest", make(dedup_key(F.col("text")))).alias("digest"), "rows")
+    groups = keyed.groupBy("digest").agg(F.sum("rows").alias("rows"))
     groups = groups.withColumn("known", F.lit(False))
     extra = F.lit(0).cast("bigint")
     if known_keys is not None:
@@ -123,5 +144,5 @@ def exact_dedup_stats(
         (before - after).alias("duplicate_rows"),
         (after + extra).alias("unique_values"),
     ).withColumns(
-        {"target_column": F.lit(resolve_target_column(df, target)), "dedupe_mode": F.lit("exact")}
+        {"target_column": F.lit(name), "dedupe_mode": F.lit("exact")}
     )

@@ -129,3 +129,26 @@ def test_stats_move_short_keys_and_no_texts(spark):
     df = texts(spark, ["a", "A", "b" * 31, "b" * 32, "B" * 32, "é" * 20, "", None])
     assert list(D.exact_dedup_stats(df).first())[:4] == [8, 5, 3, 5]
     assert sorted(r.n for r in df.select(F.octet_length(short_digest(dedup_key(F.col("text")))).alias("n")).collect()) == [0, 0, 1, 1, 31, 32, 32, 32]
+
+
+def test_counts_move_no_rows(spark, monkeypatch):
+    """Counts of clean and repeated rows: equal short texts are counted before keys are made, rows are not numbered."""
+    from corpusprep.plans import clean_dedup as P
+
+    numbered, written = [], []
+    monkeypatch.setattr(P, "with_row_index", lambda df, *order, **names: numbered.append(1) or with_row_index(df, *order, **names))
+    monkeypatch.setattr(P, "cut_lineage", lambda df, name="table": written.append(cut_lineage(df, name)) or written[-1])
+    values = ["a", "A", " a ", "!", None, "", "b" * 40, "B" * 40, "ß" * 16 + "aa", "s" * 32 + "AA", "x  y", "X Y"] * 30
+    result = P.clean_then_dedup(texts(spark, values).repartition(5))
+    cleaning, counts = result.cleaning_stats.first(), result.dedup_stats.first()
+    assert not numbered and [table.count() for table in written] == [9]
+    assert list(cleaning) == [360, 270, 60, 30, 0, 0, 90]
+    assert list(counts) == [270, 4, 266, 4, "text", "exact"]
+    assert [r.row_index for r in result.kept.orderBy("row_index").collect()] == [0, 3, 5, 7]
+    assert result.cleaned.count() == 270 and len(numbered) == 1
+
+
+def test_counts_of_nothing(spark):
+    result = clean_then_dedup(texts(spark, []))
+    assert list(result.cleaning_stats.first()) == [0] * 7
+    assert list(result.dedup_stats.first())[:4] == [0, 0, 0, 0]
