@@ -22,13 +22,15 @@ from corpusprep.operators.neighbors import (
     Reducer,
     _angles,
     check_threshold,
-    improving,
+    exact_values,
     repeated_vectors,
+    similar_cells,
+    single,
     tile_join,
     vector_table,
 )
 from corpusprep.operators.rows import cut_lineage
-from corpusprep.operators.semantic import greedy_representatives
+from corpusprep.operators.semantic import greedy_homes
 from corpusprep.operators.skew import hot_join
 
 #: Angles are known up to this.
@@ -55,11 +57,14 @@ def _between_classes(threshold: float) -> Reducer:
     """Pairs of representatives whose classes are similar as a whole (1), or may be in part (0)."""
     full = math.acos(threshold)
 
-    def reduce(base, probe, cosines):
+    @single(lower=True)
+    def reduce(base, probe, cosines, exact=None):
         # Angles are taken only where the widest classes could meet.
         widest = min(math.pi, full + base["radius"].max() + probe["radius"].max() + 2 * MARGIN)
-        row, col = np.nonzero((cosines >= math.cos(widest) - 1e-12) & (base["id"][None, :] < probe["id"][:, None]))
-        cosines = cosines[row, col]
+        row, col = similar_cells(cosines, math.cos(widest) - 1e-12, exact)
+        lower = base["id"][col] < probe["id"][row]
+        row, col = row[lower], col[lower]
+        cosines = exact_values(cosines, row, col, exact)
         radii = base["radius"][col] + probe["radius"][row]
         angles = _angles(cosines)
         alone = radii == 0
@@ -73,10 +78,13 @@ def _between_classes(threshold: float) -> Reducer:
 def _crossing(threshold: float) -> Reducer:
     """All similar pairs of a base and a probe row, the lower id first."""
 
-    def reduce(base, probe, cosines):
-        row, col = np.nonzero(cosines >= threshold)
-        one, two = base["id"][col], probe["id"][row]
-        return [np.minimum(one, two), np.maximum(one, two), cosines[row, col]]
+    @single()
+    def reduce(base, probe, cosines, exact=None):
+        row, col = similar_cells(cosines, threshold, exact)
+        values = exact_values(cosines, row, col, exact)
+        similar = values >= threshold
+        one, two = base["id"][col[similar]], probe["id"][row[similar]]
+        return [np.minimum(one, two), np.maximum(one, two), values[similar]]
 
     return reduce
 
@@ -133,12 +141,10 @@ def similar_classes(df: DataFrame, vector: str, threshold: float, order: str = "
     cells = PivotCells.choose(units, rows, tile)
     full = math.acos(threshold)
     half = max(0.0, full / 2 - MARGIN)
-    heads = cut_lineage(greedy_representatives(units, math.cos(half), cells, rows, tile), "class-heads")
+    # A row belongs to a head that removed it, so heads need not meet the other rows again.
+    heads, homes = greedy_homes(units, math.cos(half), cells, rows, tile)
+    heads = cut_lineage(heads, "class-heads")
     head_rows = heads.count()
-    # A little wider, as products of other tiles may differ in their last digit.
-    near = math.cos(half) - 1e-12
-    others = units.join(heads.select("id"), "id", "left_anti")
-    homes = tile_join(heads, others, cells, half + MARGIN / 10, improving(near), "id bigint, class_id bigint, cosine double", (head_rows, rows), tile)
     best = F.max(F.struct("cosine", (-F.col("class_id")).alias("home"))).alias("best")
     homed = homes.groupBy("id").agg(best).select(
         "id", (-F.col("best.home")).alias("class_id"), F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), "best.cosine"))).alias("angle")

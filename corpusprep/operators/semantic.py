@@ -9,6 +9,7 @@ walk: a row without a similar *undecided* row before it can be decided at once.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,7 +20,9 @@ from corpusprep.functions.text import dedup_key, key_digest
 from corpusprep.operators.neighbors import (
     TILE_ROWS,
     PivotCells,
+    Reducer,
     SignBands,
+    best_lower,
     cells_for_recall,
     check_threshold,
     has_lower,
@@ -30,7 +33,7 @@ from corpusprep.operators.rows import column, cut_lineage, resolve_target_column
 from corpusprep.operators.skew import hot_join
 
 FIRST_BLOCK = 1 << 17
-MAX_BLOCK = 1 << 22
+MAX_BLOCK = 1 << 19
 #: Ranges of ids that are counted at a time to find where a block ends.
 BUCKETS = 4096
 
@@ -56,9 +59,29 @@ def greedy_representatives(
     Every join returns at most one record per row and tile, never the pairs. The lowest
     undecided row is always decided, so the loop ends; there is no cap on the rounds.
     """
+    return greedy_homes(units, threshold, cells, rows, tile, first_block, max_block, has_lower)[0]
+
+
+def greedy_homes(
+    units: DataFrame,
+    threshold: float,
+    cells: PivotCells | SignBands,
+    rows: int,
+    tile: int = TILE_ROWS,
+    first_block: int = FIRST_BLOCK,
+    max_block: int = MAX_BLOCK,
+    removing: Callable[[float], Reducer] = best_lower,
+) -> tuple[DataFrame, DataFrame]:
+    """The representatives, and of each other row one that removed it: ``id, class_id, cosine``.
+
+    With several tiles a row may have several records, the most similar one of each. With
+    ``has_lower`` for ``removing`` the second table has only ids.
+    """
     radius = math.acos(threshold)
     ids = "id bigint"
+    homes = ids if removing is has_lower else "id bigint, class_id bigint, cosine double"
     kept: list[DataFrame] = []
+    gone: list[DataFrame] = []
     undecided, block = units, first_block
     while rows:
         head, head_rows = undecided, rows
@@ -73,15 +96,17 @@ def greedy_representatives(
         kept.append(fresh)
         if fresh_rows == rows:
             break
-        removed = tile_join(fresh, undecided, cells, radius, has_lower(threshold), ids, (fresh_rows, rows), tile)
-        decided = removed.unionByName(fresh.select("id"))
+        removed = tile_join(fresh, undecided, cells, radius, removing(threshold), homes, (fresh_rows, rows), tile)
+        if removing is not has_lower:
+            removed = cut_lineage(removed, "removed")
+        gone.append(removed)
+        decided = removed.select("id").unionByName(fresh.select("id"))
         undecided = cut_lineage(undecided.join(decided, "id", "left_anti"), "undecided")
         rows = undecided.count()
         if block < max_block or 2 * fresh_rows >= head_rows:
             block *= 2
-    if not kept:
-        return units.limit(0)
-    return reduce(DataFrame.unionByName, kept)
+    nothing = units.sparkSession.createDataFrame([], homes)
+    return reduce(DataFrame.unionByName, kept, units.limit(0)), reduce(DataFrame.unionByName, gone, nothing)
 
 
 def block_end(undecided: DataFrame, block: int, buckets: int = BUCKETS) -> tuple[int, int]:

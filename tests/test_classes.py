@@ -1,8 +1,12 @@
 """Similar rows as classes, against all pairs."""
 
+import math
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from corpusprep.operators import classes as C
 from corpusprep.operators import neighbors as N
 from corpusprep.operators.classes import similar_classes
 
@@ -84,3 +88,50 @@ def test_steps_of_similarity(spark):
     want = {(100 + r, c) for r in range(40) for c in range(60) if cosines[r, c] >= 0.8 and cosines[r, c] > max(cosines[r, :c], default=-2)}
     assert got == want
     assert [len(x) for x in N.improving(0.99)(base, probe, np.zeros((40, 60)))] == [0, 0, 0]
+
+
+def test_a_row_meets_the_heads_once(spark, monkeypatch):
+    """The head that removed a row is its class: vectors meet for pairs of classes and of rows, not for homes."""
+    calls = []
+    monkeypatch.setattr(C, "tile_join", lambda *a, **b: calls.append(1) or N.tile_join(*a, **b))
+    rng = np.random.default_rng(16)
+    matrix = rng.standard_normal((10, 16))[rng.integers(0, 10, 200)] + 0.1 * rng.standard_normal((200, 16))
+    found = similar_classes(frame(spark, matrix), "embedding", 0.9, tile=32)
+    assert expanded(found) == brute(matrix, 0.9)
+    assert len(calls) == 2
+
+
+def test_single_precision_decides_nothing_near_the_threshold(spark):
+    """Cosines 1e-10 above and below it."""
+    angles = math.acos(0.9) + np.array([-1e-10, 1e-10])
+    rows = [(0, [1.0, 0.0])] + [(k + 1, [math.cos(a), math.sin(a)]) for k, a in enumerate(angles)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {(r.left_id, r.right_id) for r in N.similar_pairs(df, "embedding", 0.9).collect()} == {(0, 1), (1, 2)}
+    assert expanded(similar_classes(df, "embedding", 0.9)) == {(0, 1), (1, 2)}
+
+
+def test_lower_ids_only(spark):
+    """Of each row, whether and which row of lower id is similar; later rows are not multiplied."""
+    shapes = []
+    rng = np.random.default_rng(18)
+    matrix = rng.standard_normal((60, 4))
+    unit = matrix / np.linalg.norm(matrix, axis=1)[:, None]
+    cosines = unit @ unit.T
+    ids = np.arange(60)
+    part = pa.table({"id": ids, "vec": pa.array(matrix.tolist())})
+
+    def watched(reducer):
+        @N.single(lower=True)
+        def reduce(base, probe, cosines, exact):
+            shapes.append((probe["id"].max(), base["id"].max()))
+            return reducer(base, probe, cosines, exact)
+
+        return reduce
+
+    below = np.tril(cosines >= 0.8, -1)
+    got = N.multiplier(watched(N.has_lower(0.8)), "id bigint")(part, part)
+    assert set(got["id"].to_pylist()) == set(np.flatnonzero(below.any(axis=1)))
+    found = N.multiplier(watched(N.best_lower(0.8)), "id bigint, class_id bigint, cosine double")(part, part).to_pylist()
+    best = {k: np.where(below[k], cosines[k], -2).argmax() for k in np.flatnonzero(below.any(axis=1))}
+    assert {r["id"]: r["class_id"] for r in found} == best
+    assert all(base < probe for probe, base in shapes)
