@@ -13,10 +13,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import dedup_key, key_digest
+from corpusprep.operators.blocks import pack, packed_representatives
+from corpusprep.operators.encoding import encode, trigram_counts, trigram_weights
 from corpusprep.operators.neighbors import (
     TILE_ROWS,
     PivotCells,
@@ -146,9 +149,10 @@ class SemanticDedup:
     category: str | None
     threshold: float
     model: str | None
-    rows: DataFrame  # row, key, digest of the input
+    rows: DataFrame  # row, blank, digest of the input
     units: DataFrame  # digest, id, copies, vec of the distinct non-blank keys
     fresh: DataFrame  # id, vec of the representatives found in this input
+    fresh_ids: DataFrame  # id of these
     known: DataFrame | None  # row_index, key, category, vec of earlier representatives
     cells: PivotCells | SignBands
     unit_rows: int
@@ -156,14 +160,14 @@ class SemanticDedup:
 
     def _first_blank(self) -> DataFrame:
         """At most one row: the first blank of this input, unless an earlier one is known."""
-        blank = self.rows.filter("key = ''").agg(F.min("row").alias("id")).filter("id IS NOT NULL")
+        blank = self.rows.filter("blank").agg(F.min("row").alias("id")).filter("id IS NOT NULL")
         if self.known is not None:
             seen = self.known.filter("key = ''").select(F.lit(1).alias("seen")).limit(1)
             blank = blank.withColumn("seen", F.lit(1)).join(seen, "seen", "left_anti").select("id")
         return blank
 
     def kept_ids(self) -> DataFrame:
-        return self.fresh.select("id").unionByName(self._first_blank())
+        return self.fresh_ids.unionByName(self._first_blank())
 
     def kept(self) -> DataFrame:
         """The input rows that stay, all columns untouched."""
@@ -234,7 +238,7 @@ class SemanticDedup:
                 same.select("id", "match", F.lit(1.0).alias("similarity"), F.lit(None).cast("bigint").alias("until"))
             )
         unit_steps = self.units.select("digest", "id").join(steps.unionByName(own), "id").drop("id")
-        rows = self.rows.filter("key <> ''").select("row", "digest")
+        rows = self.rows.filter("NOT blank").select("row", "digest")
         sizes = self.units.select("digest", F.col("copies").alias("n"))
         return (
             hot_join(rows, unit_steps, "digest", "row", sizes)
@@ -252,7 +256,7 @@ class SemanticDedup:
         return self.units.select("digest", "id").join(seen, "digest")
 
     def _blank_links(self) -> DataFrame:
-        blanks = self.rows.filter("key = ''").select(F.col("row").alias("id"))
+        blanks = self.rows.filter("blank").select(F.col("row").alias("id"))
         first = self._first_blank().select(F.col("id").alias("match"))
         if self.known is not None:
             first = first.unionByName(
@@ -346,19 +350,22 @@ def semantic_dedup(
         raise ValueError(f"unknown index kind: {index}")
     name = resolve_target_column(df, target)
     key = dedup_key(target_value(df, name))
-    rows = df.select(
-        column(order).cast("bigint").alias("row"), key.alias("key")
-    ).withColumn("digest", key_digest(F.col("key")))
+    keyed = df.select(column(order).cast("bigint").alias("row"), key.alias("key"))
+    rows = keyed.select("row", "key", key_digest(F.col("key")).alias("digest"), (F.col("key") == "").alias("blank"))
+    packable = encoder == "char-ngrams" and known is None and index == "flat" and cells is None
+    if packable:
+        # One pass over the texts; what is left of them is short.
+        rows = cut_lineage(trigram_counts(rows, "key", "vec").drop("key"), "trigram-counts")
     firsts = (
-        rows.filter("key <> ''").groupBy("digest")
+        rows.filter("NOT blank").groupBy("digest")
         .agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("copies"))
     )
-    if encoder is None:
+    if packable:
+        units = firsts.join(rows.select(F.col("row").alias("id"), "vec"), "id")
+    elif encoder is None:
         source = df.select(column(order).cast("bigint").alias("id"), column(vector).alias("vec"))
         units = firsts.join(source, "id")
     else:
-        from corpusprep.operators.encoding import encode
-
         # A fixed number of partitions: the texts are small, the work on them is not, so they
         # must not be merged into a few tasks by size. The merge join keeps that partitioning.
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -366,6 +373,16 @@ def semantic_dedup(
         units = encode(source.join(firsts.hint("merge"), "id"), "key", encoder, name="vec").drop("key")
     units = cut_lineage(units.select("digest", "id", "copies", "vec"), "units")
     unit_rows = units.count()
+    if packable:
+        weights = trigram_weights(units, "vec")
+        blocks = pack(units.select("id", "vec"), weights, unit_rows, "unit-blocks", ordered=True)
+        ids = cut_lineage(packed_representatives(blocks, threshold, first_block, max_block), "kept")
+        vectors = weights.unfolded(units, "vec")
+        fresh = weights.unfolded(units.select("id", "vec").join(ids, "id", "left_semi"), "vec")
+        return SemanticDedup(
+            df, name, order, category if category in df.columns else None, threshold, model,
+            rows, vectors, fresh, ids, known, PivotCells(np.empty((0, 0))), unit_rows, tile,
+        )
     earlier, earlier_rows = None, 0
     if known is not None:
         earlier = known.filter("key <> ''").select(F.col("row_index").alias("id"), "vec")
@@ -396,5 +413,5 @@ def semantic_dedup(
     fresh = greedy_representatives(open_units, threshold, cells, open_rows, tile, first_block, max_block)
     return SemanticDedup(
         df, name, order, category if category in df.columns else None, threshold, model,
-        rows, units, fresh, known, cells, unit_rows, tile,
+        rows, units, fresh, fresh.select("id"), known, cells, unit_rows, tile,
     )
