@@ -7,9 +7,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from corpusprep.operators import blocks as B
+from corpusprep.operators import cluster_tables as T
+from corpusprep.operators import density as D
 from corpusprep.operators import encoding as E
 from corpusprep.operators import neighbors as N
+from corpusprep.operators import rows as R
 from corpusprep.operators import semantic as S
+from corpusprep.plans import cluster_texts as P
+from corpusprep.plans.cluster_texts import cluster_texts
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron pi rho sigma tau ypsilon phi chi psi omega".split()
 
@@ -120,3 +125,42 @@ def test_empty(spark):
     df = spark.createDataFrame([], "row_index bigint, text string")
     assert S.semantic_dedup(df, encoder="char-ngrams").kept().count() == 0
     assert N.margin(1024) < 1e-4
+
+
+@pytest.mark.parametrize("listed,few,size", [(16, 64, 8192), (6, 2, 16)], ids=["one-block", "searches"])
+def test_clusters_of_counts_are_those_of_vectors(spark, monkeypatch, listed, few, size):
+    """The same clusters, facts and rows as by written vectors, though no tile of vectors is dealt out."""
+    rows = [*texts(4, 6, 25, 20), "", *texts(4, 2, 5, 20)]
+    df = frame(spark, rows)
+    vectors_ = E.encode(df.filter("text <> ''"), "text")
+    for name, value in {"LISTED": listed, "FEW": few}.items():
+        monkeypatch.setattr(D, name, value)
+    want = {r.row_index: r.cluster_id for r in D.hdbscan(vectors_, tile=32).collect()}
+    monkeypatch.setattr(B, "BLOCK_ROWS", size)
+
+    def none(*args, **options):
+        raise AssertionError("vectors move")
+
+    for module in (D, N):
+        monkeypatch.setattr(module, "tile_join", none)
+    found = cluster_texts(df)
+    got = {r.row_index: r.cluster_id for r in found.rows.select("row_index", "cluster_id").collect()}
+    assert len(set(want.values())) > 3 and got == want | {rows.index(""): -1}
+    members = found.rows.collect()
+    assert {r.row_index: r.text for r in members} == dict(enumerate(rows))
+    made = {r.row_index: r.embedding for r in members}
+    assert made.pop(rows.index("")) is None
+    assert made == {r.row_index: r.embedding for r in vectors_.collect()}
+    facts = {r.cluster_id: r.representative_text for r in found.facts.collect()}
+    assert facts == {r.cluster_id: r.representative_text for r in T.cluster_representatives(found.rows).collect()}
+    assert found.stats().first().total_before == len(rows)
+
+
+def test_texts_and_vectors_are_not_written(spark, monkeypatch):
+    """What clustering writes of a text are its counts."""
+    kinds = []
+    for module in (P, D, B, T):
+        monkeypatch.setattr(module, "cut_lineage", lambda df, *a, _cut=R.cut_lineage, **b: kinds.extend((f.name, f.dataType.simpleString()) for f in df.schema) or _cut(df, *a, **b))
+    cluster_texts(frame(spark, texts(5, 3, 8))).rows.select("row_index", "cluster_id").count()
+    assert ("vec", "binary") in kinds
+    assert not [k for k in kinds if k[0] == "text" or k[1].startswith("array<float")]
