@@ -32,7 +32,7 @@ from corpusprep.operators.neighbors import (
     improving,
     tile_join,
 )
-from corpusprep.operators.rows import column, cut_lineage, resolve_target_column, target_value
+from corpusprep.operators.rows import column, cut_lineage, resolve_target_column, small_batches, target_value
 from corpusprep.operators.skew import hot_join
 
 FIRST_BLOCK = 1 << 17
@@ -355,7 +355,8 @@ def semantic_dedup(
     packable = encoder == "char-ngrams" and known is None and index == "flat" and cells is None
     if packable:
         # One pass over the texts; what is left of them is short.
-        rows = cut_lineage(trigram_counts(rows, "key", "vec").drop("key"), "trigram-counts")
+        with small_batches(df.sparkSession):
+            rows = cut_lineage(trigram_counts(rows, "key", "vec").drop("key"), "trigram-counts")
     firsts = (
         rows.filter("NOT blank").groupBy("digest")
         .agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("copies"))
