@@ -111,6 +111,8 @@ class _Buckets:
         found: list[bytes] = []
         part, size = [], 0
         for text in texts:
+            if text is None:
+                raise ValueError("a text is missing")
             part.append(f" {text} ")
             size += len(part[-1])
             if size >= _CHARS or len(part) == _TEXTS:

@@ -164,3 +164,10 @@ def test_texts_and_vectors_are_not_written(spark, monkeypatch):
     cluster_texts(frame(spark, texts(5, 3, 8))).rows.select("row_index", "cluster_id").count()
     assert ("vec", "binary") in kinds
     assert not [k for k in kinds if k[0] == "text" or k[1].startswith("array<float")]
+
+
+def test_a_missing_text_has_no_trigrams():
+    """It is refused, as by ``NGram``, not taken for a word."""
+    with pytest.raises(ValueError):
+        E._Buckets(64).counts(["a", None])
+    assert [len(c) for c in E._Buckets(64).counts(["a", "x" * 300])] == [64, 128]
